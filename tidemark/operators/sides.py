@@ -1,0 +1,20 @@
+"""Choosing how a join treats its small side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 50_000
+
+
+def small_side(side: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark a join side for broadcast if it is proven small.
+
+    At most ``max_rows + 1`` rows are looked at.  A larger side comes back
+    unmarked, so the join shuffles both sides instead.
+    """
+    rows = side.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return side
+    return F.broadcast(side.sparkSession.createDataFrame(rows, side.schema))
