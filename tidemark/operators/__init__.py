@@ -1 +1,32 @@
 """Grouping, partition and watermark operators."""
+
+from .groups import flat_map_groups, group_by_key, map_groups
+from .local_groups import partition_local, pre_aggregate
+from .partitions import map_partitions
+from .sides import small_side
+from .watermark import (
+    SINGLE_WATERMARK,
+    batch_watermarks,
+    combined,
+    mark_late,
+    policy_setting,
+    watermark_audit,
+    with_watermark,
+)
+
+__all__ = [
+    "SINGLE_WATERMARK",
+    "batch_watermarks",
+    "combined",
+    "flat_map_groups",
+    "group_by_key",
+    "map_groups",
+    "map_partitions",
+    "mark_late",
+    "partition_local",
+    "policy_setting",
+    "pre_aggregate",
+    "small_side",
+    "watermark_audit",
+    "with_watermark",
+]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import new_folder
+from ..session import Files, new_folder
 from ..sources import register, write_manifest
 
 EVENTS_SCHEMA = (
@@ -22,7 +22,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a stream, all of it in one micro-batch."""
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    path = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if Files(spark, path).is_file(path):
+        # A file stream watches folders; pick the one file out of its folder.
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def event_day() -> Column:

@@ -92,6 +92,9 @@ class Files:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
+    def is_file(self, path: str) -> bool:
+        return self.exists(path) and self._fs.getFileStatus(self._path(path)).isFile()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
