@@ -1,6 +1,13 @@
 """Named queries over the given tables."""
 
-from . import group_queries, log_queries, watermark_queries
+from . import group_queries, log_queries, sink_queries, watermark_queries
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "group_queries", "log_queries", "watermark_queries"]
+__all__ = [
+    "ORACLES",
+    "QUERIES",
+    "group_queries",
+    "log_queries",
+    "sink_queries",
+    "watermark_queries",
+]
