@@ -18,8 +18,8 @@ from ..streaming.append_sink import (
     ledger_table,
     retained,
 )
-from ..streaming.running import run_steps
-from .inputs import DECADE_SQL, LINE_SQL, event_line, log_stream, parsed
+from ..streaming.running import run_available, run_steps
+from .inputs import DECADE_SQL, LINE_SQL, event_line, events_stream, log_stream, parsed
 from .registry import query
 
 ROUTED_SQL = f"""
@@ -50,16 +50,16 @@ def append_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     select event_type as out_path, {LINE_SQL} as value from events
-    where event_type <> 'error' and user_id % 11 <> 0
+    where event_type <> 'error' and "value" >= 5
     """
 )
 def append_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows without a path (errors) or without a text (some users) are left out."""
+    """Rows without a path (errors) or without a text (small values) are left out."""
     root = new_folder(spark, "sink")
     path = F.when(F.col("event_type") != "error", F.col("event_type"))
-    text = F.when(F.col("user_id") % 11 != 0, event_line())
+    text = F.when(F.col("value") >= 5, event_line())
     sink = AppendSink(root, path, text)
-    run_steps(sink.stream(_rows(spark, sf_dir)), new_folder(spark, "checkpoint"))
+    run_available(sink.stream(events_stream(spark, sf_dir)), new_folder(spark, "checkpoint"))
     return appended(spark, root).select("out_path", "value")
 
 
@@ -77,7 +77,6 @@ def append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        rows = rows.checkpoint() if spark.sparkContext.getCheckpointDir() else rows
         try:
             broken.write_batch(rows, batch_id)
         except ConnectionError:
