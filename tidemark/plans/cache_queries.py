@@ -110,21 +110,23 @@ def cache_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    with steps as (select *, {DECADE_SQL} as step from events),
-    aborted as (select distinct user_id, step from steps where event_type = 'signup'),
+    with steps as (
+        select *, user_id * 100 + day(ts) as key, {DECADE_SQL} as step from events),
+    aborted as (select distinct key, step from steps where event_type = 'signup'),
     changes as (
-        select s.user_id as key, event_id as seq,
+        select s.key, event_id as seq,
                case when event_type = 'error' then 'remove' else 'put' end as op
-        from steps s anti join aborted a on s.user_id = a.user_id and s.step = a.step
+        from steps s anti join aborted a on s.key = a.key and s.step = a.step
         where event_type <> 'view'),
     last as (select key, max(seq) as seq, arg_max(op, seq) as op from changes group by key)
     select key, seq as value from last where op = 'put'
     """
 )
 def cache_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A signup aborts the user's batch: none of its changes are kept."""
+    """Keys are users by day; a signup aborts its key's batch: no change is kept."""
     op = F.when(F.col("event_type") == "signup", "abort").otherwise(_op())
-    return cache_state(spark, _run(spark, sf_dir, op=op)).select("key", "value")
+    key = F.col("user_id") * 100 + F.dayofmonth("ts")
+    return cache_state(spark, _run(spark, sf_dir, op=op, key=key)).select("key", "value")
 
 
 @query(

@@ -64,8 +64,19 @@ def arrival_day() -> Column:
     return F.when(late, F.date_add(event_day(), 2)).otherwise(event_day())
 
 
-ARRIVAL_SQL = (
-    "case when event_id % 7 = 0 then ts::date + 2 else ts::date end"
+ARRIVAL_DAY_SQL = "case when event_id % 7 = 0 then ts::date + 2 else ts::date end"
+
+
+def arrival_block() -> Column:
+    """Events arrive in blocks of five days, every seventh one block late."""
+    block = F.date_sub(event_day(), F.pmod(F.unix_date(event_day()), F.lit(5)))
+    late = F.col("event_id") % 7 == 0
+    return F.when(late, F.date_add(block, 5)).otherwise(block)
+
+
+ARRIVAL_BLOCK_SQL = (
+    "(ts::date - (ts::date - date '1970-01-01') % 5"
+    " + case when event_id % 7 = 0 then 5 else 0 end)::date"
 )
 
 
@@ -85,7 +96,7 @@ def log_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Derive a log of text lines from ``events``, once per session and kind.
 
     ``days``: one step per day, the first a snapshot, the last not ready;
-    ``arrivals``: one step per arrival day, all ready;
+    ``arrivals``: one step per block of arrival, all ready;
     ``decades``: one step per ten days, all ready;
     ``closing``: like ``decades``, plus a last step that is not ready.
     """
@@ -99,7 +110,7 @@ def _write_log(spark: SparkSession, sf_dir: str, kind: str) -> str:
     root = new_folder(spark, f"log-{kind}")
     step = {
         "days": event_day,
-        "arrivals": arrival_day,
+        "arrivals": arrival_block,
         "decades": first_days_of_decades,
         "closing": first_days_of_decades,
     }[kind]()

@@ -40,12 +40,12 @@ def state_settings(spark: SparkSession, **extra: str) -> dict[str, str]:
     """Options for streams that keep state.
 
     RocksDB keeps state outside the heap and logs changes per batch.  On one
-    machine more state partitions than cores only cost time; on a cluster the
-    configured number of shuffle partitions is left alone.
+    machine each state task is joined by Python workers, so half as many tasks
+    as cores are enough; on a cluster the configured number is left alone.
     """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if is_local(spark):
-        partitions = min(partitions, 4)
+        partitions = min(partitions, max(1, spark.sparkContext.defaultParallelism // 2))
     provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     values = {
         "spark.sql.streaming.stateStore.providerClass": provider,

@@ -13,7 +13,8 @@ Layout under the cache's root::
     answers/batch_id=N/   one row per get
 
 A batch reads versions below its own only and replaces its folders as a whole,
-so a repeated batch gives the same result.
+so a repeated batch gives the same result.  Versions older than ``keep`` batches
+are deleted; the answers are output and stay.
 
 No task handles all commands of a key: the commands are range partitioned by
 key *and* sequence number, so a busy key is cut into slices, and what a slice
@@ -25,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from ..functions.scalars import duration_seconds
@@ -52,11 +54,14 @@ class KeyedCache:
         at: Column | None = None,
         ttl: str | None = None,
         full_every: int = 10,
+        keep: int = 100,
     ):
         if (ttl is None) != (at is None):
             raise ValueError("ttl and at belong together")
         if full_every < 1:
             raise ValueError("full_every must be positive")
+        if keep < 1:
+            raise ValueError("keep must be positive")
         self.root = root.rstrip("/")
         self._columns = [
             (F.lit("default") if cache is None else cache).alias("cache"),
@@ -68,6 +73,7 @@ class KeyedCache:
         ]
         self._ttl = None if ttl is None else duration_seconds(ttl)
         self._full_every = full_every
+        self._keep = keep
 
     def stream(self, commands: DataFrame) -> DataStreamWriter:
         return commands.writeStream.foreachBatch(self.write_batch)
@@ -75,7 +81,8 @@ class KeyedCache:
     def write_batch(self, commands: DataFrame, batch_id: int) -> None:
         spark = commands.sparkSession
         staged = self._staged(commands, batch_id)
-        before = cache_versions(spark, self.root, batch_id - 1)
+        schema = _change_schema(staged)
+        before = cache_versions(spark, self.root, batch_id - 1, schema)
         self._changes(staged).write.mode("overwrite").parquet(
             f"{self.root}/changes/batch_id={batch_id}"
         )
@@ -83,8 +90,19 @@ class KeyedCache:
         answers.write.mode("overwrite").parquet(f"{self.root}/answers/batch_id={batch_id}")
         if (batch_id + 1) % self._full_every == 0:
             # Bounds how many change sets a later batch has to read.
-            after = cache_versions(spark, self.root, batch_id)
+            after = cache_versions(spark, self.root, batch_id, schema)
             after.write.mode("overwrite").parquet(f"{self.root}/full/batch_id={batch_id}")
+            self._forget(spark, batch_id - self._keep)
+        Files(spark, self.root).delete(f"{self.root}/staged/batch_id={batch_id}")
+
+    def _forget(self, spark: SparkSession, oldest: int) -> None:
+        """Delete what no version from ``oldest`` on needs."""
+        files = Files(spark, self.root)
+        base = max((n for n in _batches(files, f"{self.root}/full") if n <= oldest), default=-1)
+        for kind, last in (("full", base - 1), ("changes", base)):
+            for n in _batches(files, f"{self.root}/{kind}"):
+                if n <= last:
+                    files.delete(f"{self.root}/{kind}/batch_id={n}")
 
     def _staged(self, commands: DataFrame, batch_id: int) -> DataFrame:
         """The commands in slices of the order (cache, key, seq), as a table.
@@ -162,9 +180,10 @@ class KeyedCache:
         )
 
 
-def cache_versions(spark: SparkSession, root: str, version: int) -> DataFrame:
+def cache_versions(
+    spark: SparkSession, root: str, version: int, schema: StructType
+) -> DataFrame:
     """Last change per key up to a version, removals included."""
-    schema = _change_schema(spark, root)
     files = Files(spark, root)
     fulls = [n for n in _batches(files, f"{root}/full") if n <= version]
     base = max(fulls, default=-1)
@@ -202,10 +221,8 @@ def _batches(files: Files, folder: str) -> list[int]:
     ]
 
 
-def _change_schema(spark: SparkSession, root: str):
-    """Schema of stored changes, taken from the staged commands of any batch."""
-    staged = spark.read.parquet(f"{root}/staged")
-    typed = staged.select("cache", "key", "op", "value", "seq", "expires_at")
+def _change_schema(rows: DataFrame) -> StructType:
+    typed = rows.select("cache", "key", "op", "value", "seq", "expires_at")
     return typed.withColumn("version", F.lit(None).cast("long")).schema
 
 
@@ -218,7 +235,8 @@ def cache_state(
     """
     if version is None:
         version = max(_batches(Files(spark, root), f"{root}/changes"), default=-1)
-    rows = cache_versions(spark, root, version).filter(F.col("op") == "put")
+    schema = _change_schema(spark.read.parquet(f"{root}/changes"))
+    rows = cache_versions(spark, root, version, schema).filter(F.col("op") == "put")
     if now is not None:
         rows = rows.filter(F.col("expires_at").isNull() | (F.col("expires_at") > now))
     return rows.select("cache", "key", "value", "seq")
