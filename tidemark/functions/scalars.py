@@ -23,7 +23,7 @@ def parse_duration(text: Column) -> Column:
 
     def part(group: int) -> Column:
         found = F.regexp_extract(text, DURATION, group)
-        return F.when(found == "", F.lit(0)).otherwise(found.cast("int"))
+        return F.when(found == "", F.lit(0)).otherwise(found.try_cast("int"))
 
     interval = F.make_dt_interval(part(1), part(2), part(3), part(4).cast("decimal(18,6)"))
     return F.when(text.rlike(DURATION), interval)
@@ -48,7 +48,7 @@ def is_flag_name(name: Column) -> Column:
 
 
 def batch_of_flag(name: Column) -> Column:
-    return F.split(name, "_").getItem(0).cast("long")
+    return F.split(name, "_").getItem(0).try_cast("long")
 
 
 def parent_folder(path: Column) -> Column:

@@ -75,7 +75,7 @@ def arrival_block() -> Column:
 
 
 ARRIVAL_BLOCK_SQL = (
-    "(ts::date - (ts::date - date '1970-01-01') % 5"
+    "(ts::date - ((ts::date - date '1970-01-01') % 5)::int"
     " + case when event_id % 7 = 0 then 5 else 0 end)::date"
 )
 

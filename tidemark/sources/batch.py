@@ -83,7 +83,7 @@ def scan_entries(spark: SparkSession, entries: DataFrame, with_partition: bool =
         .select(
             "value",
             F.regexp_replace(file, FILE_OF_ENTRY, "").alias("folder"),
-            *([F.regexp_extract(file, PART_OF_FILE, 1).cast("int").alias("partition")] if with_partition else []),
+            *([F.regexp_extract(file, PART_OF_FILE, 1).try_cast("int").alias("partition")] if with_partition else []),
         )
     )
     return (

@@ -6,16 +6,21 @@
 Options: ``reader`` (name, any case), ``historyPath`` (shared folder), ``emit``
 (``set`` or ``new``), ``minLogs`` (offsets kept, 128), ``content`` (``lines`` or
 ``entries``), and whatever the reader itself needs.
+
+A stream that starts before there is any entry runs one empty batch, because
+Spark asks every source for a first offset.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from typing import Any
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -142,6 +147,9 @@ def find_reader(name: str | None, known: list[type[LogReader]]) -> type[LogReade
 def register(spark: SparkSession, *readers: type[LogReader]) -> None:
     """Make ``format("batchlog")`` known, with extra readers beside ``manifest``."""
     known: list[type[LogReader]] = [ManifestReader, *readers]
+    for reader in readers:
+        # Readers travel to the workers by value, wherever they are defined.
+        cloudpickle.register_pickle_by_value(sys.modules[reader.__module__])
 
     class BatchLogSource(DataSource):
         @classmethod
