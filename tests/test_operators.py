@@ -186,7 +186,7 @@ def test_partition_local(spark):
         return (state or 0) + len(rows)
 
     def finish(key, state):
-        return pd.DataFrame({"k": [key[0]], "n": [state]})
+        return [(key[0], state)]
 
     df = spark.range(10_000).select((F.col("id") % 7).alias("k"), "id").coalesce(1)
     local = partition_local(df, ["k"], update, finish, "k long, n long")
@@ -196,7 +196,9 @@ def test_partition_local(spark):
     assert got == {k: len(range(k, 10_000, 7)) for k in range(7)}
     # With a bound on the states the parts still add up.
     with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "100"}):
-        bounded = partition_local(df, ["k"], update, finish, "k long, n long", max_groups=3)
+        bounded = partition_local(
+            df, ["k"], update, finish, "k long, n long", max_groups=3, chunk_rows=150
+        )
         parts = bounded.groupBy("k").agg(F.sum("n"), F.count("*")).collect()
     assert {r.k: r[1] for r in parts} == got
     assert all(r[2] > 1 for r in parts)

@@ -248,3 +248,10 @@ def test_cache_ttl(spark, folder):
 def test_unknown_operation(spark, folder):
     with pytest.raises(Exception, match="unknown cache operation: pop"):
         cache(folder).write_batch(commands(spark, [("x", "a", "pop", 1, 1)]), 0)
+
+
+def test_cache_with_null_keys(spark, folder):
+    to = cache(folder)
+    to.write_batch(commands(spark, [("x", None, "put", 1, 1), ("x", None, "get", None, 2)]), 0)
+    to.write_batch(commands(spark, [("x", None, "get", None, 3)]), 1)
+    assert {r.seq: r.value for r in cache_answers(spark, folder).collect()} == {2: 1, 3: 1}

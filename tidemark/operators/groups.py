@@ -82,8 +82,8 @@ def flat_map_groups(
         raise ValueError(f"the output mode must be one of {MODES}, not {mode!r}")
     if timeout not in TIMEOUTS:
         raise ValueError(f"timeout must be one of {sorted(TIMEOUTS)}, not {timeout!r}")
-    groups = df.groupBy(*keys)
     if df.isStreaming:
+        groups = df.groupBy(*keys)
         return groups.applyInPandasWithState(function, output, state, mode, TIMEOUTS[timeout])
 
     def once(
@@ -91,7 +91,10 @@ def flat_map_groups(
     ) -> Iterator[pd.DataFrame]:
         yield from function(key, chunks, TableState())
 
-    return groups.applyInPandas(once, output)
+    # The number is given so that the shuffle, the same one that the grouping
+    # needs, is not put together by size: calls cost time, not bytes.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys).groupBy(*keys).applyInPandas(once, output)
 
 
 def map_groups(

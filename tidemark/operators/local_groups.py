@@ -8,9 +8,10 @@ from typing import Any
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 Update = Callable[[tuple, pd.DataFrame, Any], Any]
-Finish = Callable[[tuple, Any], pd.DataFrame]
+Finish = Callable[[tuple, Any], list[tuple]]
 
 
 def partition_local(
@@ -20,30 +21,33 @@ def partition_local(
     finish: Finish,
     output: str,
     max_groups: int | None = None,
+    chunk_rows: int = 200_000,
 ) -> DataFrame:
     """Fold the rows of each key as far as they meet in one partition.
 
     ``update(key, rows, state)`` takes a chunk of a key's rows and its state
     (``None`` at first) and returns the new state; ``finish(key, state)`` gives
-    the rows to emit.  Only states are held, never the rows of a group.
+    the rows to emit as tuples.  Besides the states only ``chunk_rows`` rows are
+    held, never the rows of a group.
 
     A key that lies in several partitions yields one group in each.  With
     ``max_groups`` a partition also emits and forgets its states whenever it
     holds more keys, so memory stays bounded; give it if the outputs of one key
     can be merged afterwards.
     """
+    names = StructType.fromDDL(output).names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict[tuple, Any] = {}
 
         def emitted() -> Iterator[pd.DataFrame]:
-            parts = [finish(key, state) for key, state in states.items()]
+            rows = [row for key, state in states.items() for row in finish(key, state)]
             states.clear()
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+            if rows:
+                yield pd.DataFrame.from_records(rows, columns=names)
 
-        for batch in batches:
-            for key, rows in batch.groupby(keys, sort=False, dropna=False):
+        for chunk in _chunks(batches, chunk_rows):
+            for key, rows in chunk.groupby(keys, sort=False, dropna=False):
                 states[key] = update(key, rows, states.get(key))
             if max_groups is not None and len(states) > max_groups:
                 yield from emitted()
@@ -52,6 +56,20 @@ def partition_local(
     return df.mapInPandas(run, output)
 
 
+def _chunks(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Larger chunks, so that a key costs one call per chunk and not per batch."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
 def pre_aggregate(
     df: DataFrame,
     keys: list[str],
@@ -90,14 +108,19 @@ def pre_aggregate(
         return pa.table(picked, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        parts: list[pa.Table] = []
+        rows = 0
         for batch in batches:
-            part = fold(pa.table(batch), first)
-            held = part if held is None else fold(pa.concat_tables([held, part]), again)
-            if held.num_rows > max_groups:
-                yield from held.combine_chunks().to_batches()
-                held = None
-        if held is not None:
-            yield from held.combine_chunks().to_batches()
+            parts.append(fold(pa.table(batch), first))
+            rows += parts[-1].num_rows
+            if rows > max_groups:
+                parts = [fold(pa.concat_tables(parts), again)]
+                rows = parts[0].num_rows
+                if rows > max_groups // 2:
+                    # Mostly different keys: holding on to them gains little.
+                    yield from parts[0].combine_chunks().to_batches()
+                    parts, rows = [], 0
+        if parts:
+            yield from fold(pa.concat_tables(parts), again).combine_chunks().to_batches()
 
     return df.select(*used).mapInArrow(run, ", ".join(types))

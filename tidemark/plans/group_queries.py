@@ -310,15 +310,14 @@ def partition_local_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def update(key, rows, state):
-        n, low, high = len(rows), int(rows["event_id"].min()), int(rows["event_id"].max())
+        ids = rows["event_id"].to_numpy()
+        n, low, high = len(ids), int(ids.min()), int(ids.max())
         if state is None:
             return n, low, high
         return state[0] + n, min(state[1], low), max(state[2], high)
 
     def finish(key, state):
-        return pd.DataFrame(
-            {"user_id": [key[0]], "n": [state[0]], "first_id": [state[1]], "last_id": [state[2]]}
-        )
+        return [(key[0], *state)]
 
     local = partition_local(
         events(spark, sf_dir).select("user_id", "event_id"),

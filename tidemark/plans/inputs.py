@@ -124,7 +124,7 @@ def _write_log(spark: SparkSession, sf_dir: str, kind: str) -> str:
     lines.hint("rebalance", "step", "part").write.partitionBy("step", "part").text(f"{root}/lines")
 
     # One row per step from here on.
-    days = spark.read.text(f"{root}/lines").select(F.to_date("step").alias("step")).distinct()
+    days = events(spark, sf_dir).select(step.alias("step")).distinct()
     if kind == "closing":
         last = days.agg(F.date_add(F.max("step"), 10).alias("step"))
         days = days.unionByName(last)

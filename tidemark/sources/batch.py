@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.sides import SMALL_ROWS
 from ..session import Files
-from .manifest import MANIFEST_SCHEMA, only_new, stamp
+from .manifest import MANIFEST_SCHEMA, seen_before, stamp
 
-# A file belongs to the entry whose folder holds it, directly or in part=i.
-FILE_OF_ENTRY = r"(/part=[0-9]+)?/[^/]+$"
 PART_OF_FILE = r"/part=([0-9]+)/[^/]+$"
 
 
@@ -33,57 +31,58 @@ def read_batch_log(
     """
     if emit not in ("set", "new"):
         raise ValueError(f"emit must be 'set' or 'new', not {emit!r}")
-    wanted = only_new(manifest) if emit == "new" else manifest
-    wanted = wanted.filter(F.col("offset") > start)
-    steps = manifest.filter(F.col("offset") > start)
+    marked = seen_before(manifest).filter(F.col("offset") > start)
     if end is not None:
-        wanted = wanted.filter(F.col("offset") <= end)
-        steps = steps.filter(F.col("offset") <= end)
-    seen = steps.agg(
-        F.min("offset").alias("low"),
-        F.max("offset").alias("high"),
-        F.count_distinct("offset").alias("n"),
-    ).first()
-    if seen.n:
-        last = seen.high if end is None else end
-        first = 0 if start < 0 else start + 1
-        if (seen.low, seen.high, seen.n) != (first, last, last - first + 1):
-            raise ValueError(f"the manifest lacks steps between {start} and {last}")
-    elif end is not None and end > start:
-        raise ValueError(f"the manifest lacks steps between {start} and {end}")
-    return scan_entries(spark, wanted, with_partition)
+        marked = marked.filter(F.col("offset") <= end)
+    # Control data: one row per entry of the range.
+    rows = _control_rows(marked)
+    steps = {row.offset for row in rows}
+    last = end if end is not None else max(steps, default=start)
+    if missing := set(range(max(start, -1) + 1, last + 1)) - steps:
+        raise ValueError(f"the manifest lacks steps {sorted(missing)[:5]} up to {last}")
+    if emit == "new":
+        rows = [row for row in rows if not row.repeated]
+    return _scan(spark, rows, with_partition)
 
 
 def scan_entries(spark: SparkSession, entries: DataFrame, with_partition: bool = False) -> DataFrame:
-    """Lines of the ready entries.
+    """Lines of the ready entries of a manifest, whatever their steps."""
+    return _scan(spark, _control_rows(entries.withColumn("repeated", F.lit(False))), with_partition)
 
-    The entries are control data, one row per folder: their paths are collected
-    to be listed.  Lines get the entry's columns through a join on the folder,
-    a broadcast one as long as the entries are few.
+
+def _control_rows(entries: DataFrame) -> list[Row]:
+    return entries.select(
+        "offset", "name", F.unix_micros("cti").alias("cti_us"), "is_snapshot", "is_ready", "path", "repeated"
+    ).collect()
+
+
+def _scan(spark: SparkSession, entries: list[Row], with_partition: bool) -> DataFrame:
+    """One native scan of the folders of all ready entries.
+
+    Lines get their entry's columns through a join on the folder, a broadcast
+    one as long as the entries are few.
     """
-    ready = entries.filter("is_ready").select(
-        "name", F.unix_micros("cti").alias("cti_us"), "is_snapshot", "path"
-    )
-    rows = ready.collect()
+    rows = [row for row in entries if row.is_ready]
     columns = ["name", "cti", "value"] + (["partition"] if with_partition else [])
     if not rows:
         empty = "name string, cti timestamp, value string"
         return spark.createDataFrame([], empty + (", partition int" if with_partition else ""))
-    folders = {row.path: _folder_key(spark, row.path) for row in rows}
+    folders = _folder_keys(spark, {row.path for row in rows})
     keyed = spark.createDataFrame(
-        [(folders[r.path], r.name, r.cti_us, r.is_snapshot) for r in rows],
+        [(key, r.name, r.cti_us, r.is_snapshot) for r in rows for key in folders[r.path]],
         "folder string, name string, cti_us long, is_snapshot boolean",
     )
     if len(rows) <= SMALL_ROWS:
         keyed = F.broadcast(keyed)
-    file = F.regexp_replace("_metadata.file_path", "^file:/+", "/")
+    file = F.col("_metadata.file_path")
+    part = F.regexp_extract(file, PART_OF_FILE, 1).try_cast("int")
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(list(folders), lineSep="\n")
         .select(
             "value",
-            F.regexp_replace(file, FILE_OF_ENTRY, "").alias("folder"),
-            *([F.regexp_extract(file, PART_OF_FILE, 1).try_cast("int").alias("partition")] if with_partition else []),
+            _entry_folder(file).alias("folder"),
+            *([part.alias("partition")] if with_partition else []),
         )
     )
     return (
@@ -93,9 +92,38 @@ def scan_entries(spark: SparkSession, entries: DataFrame, with_partition: bool =
     )
 
 
-def _folder_key(spark: SparkSession, path: str) -> str:
-    key = Files(spark, path).qualified(path.rstrip("/"))
-    return "/" + key[len("file:") :].lstrip("/") if key.startswith("file:") else key
+def _folder_keys(spark: SparkSession, paths: set[str]) -> dict[str, list[str]]:
+    """The spellings of each folder that ``_metadata.file_path`` may show.
+
+    Local paths come as ``file:/x`` or ``file:///x``.
+    """
+    systems: dict[str, Files] = {}
+    keys = {}
+    for path in paths:
+        root = path[: path.find("/", path.index("://") + 3) + 1] if "://" in path else "/"
+        if root not in systems:
+            systems[root] = Files(spark, path)
+        key = systems[root].qualified(path.rstrip("/"))
+        keys[path] = [key]
+        if key.startswith("file:"):
+            inner = key[len("file:") :].lstrip("/")
+            keys[path] = [f"file:/{inner}", f"file:///{inner}"]
+    return keys
+
+
+def _entry_folder(file: Column) -> Column:
+    """A file belongs to the entry whose folder holds it, directly or in part=i.
+
+    This runs for every line, so it is built from plain substrings.
+    """
+
+    def parent(path: Column) -> tuple[Column, Column]:
+        last = F.substring_index(path, "/", -1)
+        return F.substring(path, F.lit(1), F.length(path) - F.length(last) - 1), last
+
+    folder, _ = parent(file)
+    above, last = parent(folder)
+    return F.when(last.startswith("part="), above).otherwise(folder)
 
 
 def for_each_log_batch(

@@ -80,16 +80,19 @@ def stamp(is_snapshot: Column, cti: Column) -> Column:
     return F.when(is_snapshot, F.timestamp_millis(F.lit(0))).otherwise(cti)
 
 
-def only_new(manifest: DataFrame) -> DataFrame:
-    """Drop entries that the step before held already."""
+def seen_before(manifest: DataFrame) -> DataFrame:
+    """Add ``repeated``: whether the step before held the same entry."""
     previous = F.lag("offset").over(Window.partitionBy(*IDENTITY).orderBy("offset"))
-    return (
-        manifest.withColumn("seen_at", previous)
-        .filter(F.col("seen_at").isNull() | (F.col("seen_at") < F.col("offset") - 1))
-        .drop("seen_at")
+    return manifest.withColumn(
+        "repeated", F.coalesce(previous == F.col("offset") - 1, F.lit(False))
     )
 
 
+def only_new(manifest: DataFrame) -> DataFrame:
+    """Drop entries that the step before held already."""
+    return seen_before(manifest).filter("not repeated").drop("repeated")
+
+
 def sets_differ(left: DataFrame, right: DataFrame) -> DataFrame:
     """Entries held by only one of two sets; empty when the sets are equal."""
     a, b = left.select(*IDENTITY), right.select(*IDENTITY)

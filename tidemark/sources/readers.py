@@ -48,7 +48,10 @@ class LogReader:
         return [self.next_entry(entry) for entry in entries]
 
     def splits(self, entry: LogEntry, partition: int) -> list[Any]:
-        """Cut one partition of an entry into independent tasks."""
+        """Cut one partition of an entry into independent tasks.
+
+        Called for the partitions of an entry one after the other, from 0 on.
+        """
         return [None]
 
     def read(self, entry: LogEntry, partition: int, split: Any) -> Iterator[pa.Array]:
@@ -75,19 +78,31 @@ class ManifestReader(LogReader):
             raise ValueError("the manifest reader needs the option manifestPath")
         self.manifest_path = options["manifestPath"]
         self.split_bytes = int(options.get("splitBytes", 128 << 20))
+        self._read_as: list[tuple] = []
+        self._known_steps: dict[int, list[LogEntry]] = {}
+        self._files: list[tuple[str, int]] = []
 
     def _steps(self) -> dict[int, list[LogEntry]]:
+        """The manifest, read again only when its files have changed."""
         fs, folder = file_system(self.manifest_path)
-        steps: dict[int, list[LogEntry]] = {}
-        for info in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
-            if not info.is_file or info.base_name.startswith(("_", ".")):
-                continue
-            with fs.open_input_stream(info.path) as stream:
-                for line in stream.read().decode("utf-8").splitlines():
-                    record = json.loads(line)
-                    step = record.pop("offset")
-                    steps.setdefault(step, []).append(LogEntry(**record, step=step))
-        return {step: sorted(found, key=LogEntry.to_line) for step, found in steps.items()}
+        files = sorted(
+            (info.path, info.size, info.mtime_ns)
+            for info in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+            if info.is_file and not info.base_name.startswith(("_", "."))
+        )
+        if files != self._read_as:
+            steps: dict[int, list[LogEntry]] = {}
+            for path, _, _ in files:
+                with fs.open_input_stream(path) as stream:
+                    for line in stream.read().decode("utf-8").splitlines():
+                        record = json.loads(line)
+                        step = record.pop("offset")
+                        steps.setdefault(step, []).append(LogEntry(**record, step=step))
+            self._known_steps = {
+                step: sorted(found, key=LogEntry.to_line) for step, found in steps.items()
+            }
+            self._read_as = files
+        return self._known_steps
 
     def initial(self) -> list[LogEntry]:
         steps = self._steps()
@@ -112,19 +127,20 @@ class ManifestReader(LogReader):
 
     def splits(self, entry: LogEntry, partition: int) -> list[tuple[str, int, int]]:
         fs, folder = file_system(entry.path.rstrip("/"))
-        divided = any(
-            info.base_name.startswith("part=") for info in fs.get_file_info(pafs.FileSelector(folder))
-        )
-        own = f"{folder}/part={partition}" if divided else folder
-        files = sorted(
-            (info.path, info.size)
-            for info in fs.get_file_info(pafs.FileSelector(own, allow_not_found=True, recursive=True))
-            if info.is_file and not info.base_name.startswith(("_", "."))
-        )
-        if not divided:
-            files = files[partition :: entry.partitions]
+        if partition == 0:
+            # One listing serves all partitions of the entry.
+            selector = pafs.FileSelector(folder, allow_not_found=True, recursive=True)
+            self._files = sorted(
+                (info.path[len(folder) :], info.size)
+                for info in fs.get_file_info(selector)
+                if info.is_file and not info.base_name.startswith(("_", "."))
+            )
+        if any(path.startswith("/part=") for path, _ in self._files):
+            files = [f for f in self._files if f[0].startswith(f"/part={partition}/")]
+        else:
+            files = self._files[partition :: entry.partitions]
         return [
-            (entry.path.rstrip("/") + path[len(folder) :], start, min(self.split_bytes, size - start))
+            (entry.path.rstrip("/") + path, start, min(self.split_bytes, size - start))
             for path, size in files
             for start in range(0, size, self.split_bytes)
         ]

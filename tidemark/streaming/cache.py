@@ -156,11 +156,29 @@ class KeyedCache:
             Window.unboundedPreceding, -1
         )
         carried = slices.withColumn("carried", F.last("last", ignorenulls=True).over(earlier))
-        stored = before.select(*keys, F.struct("op", "value", "expires_at").alias("stored"))
+        # Keys may be null, so the joins compare them null-safely.
+        stored = before.select(
+            F.col("cache").alias("s_cache"),
+            F.col("key").alias("s_key"),
+            F.struct("op", "value", "expires_at").alias("stored"),
+        )
+        same = F.col("cache").eqNullSafe(F.col("s_cache")) & F.col("key").eqNullSafe(
+            F.col("s_key")
+        )
         known = (
             carried.filter("asks")
-            .join(stored, keys, "left")
-            .select(*keys, "slice", F.coalesce("carried", "stored").alias("known"))
+            .join(stored, same, "left")
+            .select(
+                F.col("cache").alias("k_cache"),
+                F.col("key").alias("k_key"),
+                F.col("slice").alias("k_slice"),
+                F.coalesce("carried", "stored").alias("known"),
+            )
+        )
+        same_slice = (
+            F.col("cache").eqNullSafe(F.col("k_cache"))
+            & F.col("key").eqNullSafe(F.col("k_key"))
+            & (F.col("slice") == F.col("k_slice"))
         )
 
         ahead = Window.partitionBy(*keys, "slice").orderBy("seq").rowsBetween(
@@ -171,7 +189,7 @@ class KeyedCache:
         return (
             staged.withColumn("own", F.last(change, ignorenulls=True).over(ahead))
             .filter(F.col("op") == "get")
-            .join(known, [*keys, "slice"], "left")
+            .join(known, same_slice, "left")
             .select(
                 *keys,
                 "seq",
