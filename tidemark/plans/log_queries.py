@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import new_folder
 from ..sources import for_each_log_batch, history_table, read_batch_log, read_manifest
 from ..streaming.running import into_table, run_steps
-from .inputs import LINE_SQL, log_folder, log_stream
+from .inputs import DECADE_SQL, LINE_SQL, log_folder, log_stream
 from .registry import query
 
 FIRST = "(select min(ts::date) from events)"
@@ -40,15 +40,20 @@ def batchlog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_ms(spark.read.parquet(out))
 
 
-@query(LOG_ROWS_SQL)
+@query(
+    f"""
+    select 'events' as name, epoch_ms({DECADE_SQL}::timestamp) as cti_ms, {LINE_SQL} as value
+    from events
+    """
+)
 def batchlog_native_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows again: the stream carries entries, Spark scans the text."""
+    """A log in steps of ten days: the stream carries entries, Spark scans the text."""
     out = new_folder(spark, "out")
 
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    entries = log_stream(spark, sf_dir, "days", content="entries")
+    entries = log_stream(spark, sf_dir, "closing", content="entries")
     run_steps(for_each_log_batch(entries, write), new_folder(spark, "checkpoint"))
     return _with_ms(spark.read.parquet(out))
 

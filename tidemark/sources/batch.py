@@ -31,7 +31,9 @@ def read_batch_log(
     """
     if emit not in ("set", "new"):
         raise ValueError(f"emit must be 'set' or 'new', not {emit!r}")
-    marked = seen_before(manifest).filter(F.col("offset") > start)
+    # Finding repeated entries costs a shuffle of the manifest.
+    repeated = seen_before(manifest) if emit == "new" else _all_new(manifest)
+    marked = repeated.filter(F.col("offset") > start)
     if end is not None:
         marked = marked.filter(F.col("offset") <= end)
     # Control data: one row per entry of the range.
@@ -47,13 +49,17 @@ def read_batch_log(
 
 def scan_entries(spark: SparkSession, entries: DataFrame, with_partition: bool = False) -> DataFrame:
     """Lines of the ready entries of a manifest, whatever their steps."""
-    return _scan(spark, _control_rows(entries.withColumn("repeated", F.lit(False))), with_partition)
+    return _scan(spark, _control_rows(_all_new(entries)), with_partition)
+
+
+def _all_new(entries: DataFrame) -> DataFrame:
+    return entries.withColumn("repeated", F.lit(False))
 
 
 def _control_rows(entries: DataFrame) -> list[Row]:
-    return entries.select(
-        "offset", "name", F.unix_micros("cti").alias("cti_us"), "is_snapshot", "is_ready", "path", "repeated"
-    ).collect()
+    micros = F.unix_micros("cti").alias("cti_us")
+    flags = ["is_snapshot", "is_ready", "repeated"]
+    return entries.select("offset", "name", micros, "path", *flags).collect()
 
 
 def _scan(spark: SparkSession, entries: list[Row], with_partition: bool) -> DataFrame:
