@@ -215,6 +215,9 @@ def test_pre_aggregate_shrinks_a_hot_key(spark):
     whole = partial.groupBy("k").agg(F.sum("n"), F.sum("s"), F.min("low"), F.max("high"))
     want = df.groupBy("k").agg(F.count("id"), F.sum("id"), F.min("id"), F.max("id"))
     assert whole.exceptAll(want).count() == 0 and want.exceptAll(whole).count() == 0
+    narrow = df.select("k", F.lit(2_000_000_000).alias("i"), F.lit(0.5).cast("float").alias("f"))
+    sums = pre_aggregate(narrow, ["k"], {"i": ("i", "sum"), "f": ("f", "sum")})
+    assert sums.agg(F.sum("i"), F.sum("f")).first() == (60_000_000_000_000, 15_000.0)
     bounded = pre_aggregate(df, ["k"], {"n": ("id", "count")}, max_groups=50)
     assert bounded.agg(F.sum("n")).first()[0] == 30_000
     with pytest.raises(ValueError, match="merge"):

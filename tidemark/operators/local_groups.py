@@ -87,10 +87,10 @@ def pre_aggregate(
     for source, function in aggregates.values():
         if function not in ("sum", "min", "max", "count"):
             raise ValueError(f"cannot merge partial results of {function!r} on {source!r}")
-    fields = {field.name: field for field in df.schema.fields}
-    types = [f"`{key}` {fields[key].dataType.simpleString()}" for key in keys]
+    kinds = {field.name: field.dataType.simpleString() for field in df.schema.fields}
+    types = [f"`{key}` {kinds[key]}" for key in keys]
     types += [
-        f"`{name}` {'long' if function == 'count' else fields[source].dataType.simpleString()}"
+        f"`{name}` {_result_kind(kinds[source], function)}"
         for name, (source, function) in aggregates.items()
     ]
     names = [*keys, *aggregates]
@@ -124,3 +124,11 @@ def pre_aggregate(
             yield from fold(pa.concat_tables(parts), again).combine_chunks().to_batches()
 
     return df.select(*used).mapInArrow(run, ", ".join(types))
+
+
+def _result_kind(kind: str, function: str) -> str:
+    if function == "count":
+        return "long"
+    if function == "sum":
+        return {"tinyint": "long", "smallint": "long", "int": "long", "float": "double"}.get(kind, kind)
+    return kind

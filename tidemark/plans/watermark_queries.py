@@ -88,9 +88,11 @@ def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = with_watermark(
         parsed(log_stream(spark, sf_dir, "arrivals")), "ts", f"{DELAY_HOURS} hours"
     )
-    # Nothing is kept per key here, so the groups are made few and even.
+    # Nothing is kept per key here, so the groups are made even, some per task.
+    groups = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group = F.pmod(F.hash("event_id"), F.lit(groups))
     kept = flat_map_groups(
-        stream.select(F.pmod(F.hash("event_id"), F.lit(64)).alias("group"), "event_id", "ts"),
+        stream.select(group.alias("group"), "event_id", "ts"),
         ["group"],
         keep,
         "event_id long",
@@ -184,7 +186,7 @@ def watermark_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("row.*")
 
 
-@query("select 'min' as policy, 0 as watermark_ms from events having count(*) > 0")
+@query("select 'min' as policy, 0::bigint as watermark_ms from events having count(*) > 0")
 def watermark_idle_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An input that never has data holds the global watermark at zero."""
     return _two_inputs(spark, sf_dir, "min", "no such type")

@@ -79,13 +79,10 @@ class Files:
     system layer, so that any URI scheme Spark knows works."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
         self._fs = self._path(root).getFileSystem(self._conf)
 
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
-
     def qualified(self, path: str) -> str:
         return self._fs.makeQualified(self._path(path)).toUri().toString()
 

@@ -87,7 +87,7 @@ def _scan(spark: SparkSession, entries: list[Row], with_partition: bool) -> Data
         .text(list(folders), lineSep="\n")
         .select(
             "value",
-            _entry_folder(file).alias("folder"),
+            _entry_folder().alias("folder"),
             *([part.alias("partition")] if with_partition else []),
         )
     )
@@ -117,19 +117,20 @@ def _folder_keys(spark: SparkSession, paths: set[str]) -> dict[str, list[str]]:
     return keys
 
 
-def _entry_folder(file: Column) -> Column:
+def _entry_folder() -> Column:
     """A file belongs to the entry whose folder holds it, directly or in part=i.
 
     This runs for every line, so it is built from plain substrings.
     """
 
-    def parent(path: Column) -> tuple[Column, Column]:
-        last = F.substring_index(path, "/", -1)
-        return F.substring(path, F.lit(1), F.length(path) - F.length(last) - 1), last
+    def name(path: str) -> str:
+        return f"substring_index({path}, '/', -1)"
 
-    folder, _ = parent(file)
-    above, last = parent(folder)
-    return F.when(last.startswith("part="), above).otherwise(folder)
+    def parent(path: str) -> str:
+        return f"left({path}, length({path}) - length({name(path)}) - 1)"
+
+    folder = parent("_metadata.file_path")
+    return F.expr(f"if(startswith({name(folder)}, 'part='), {parent(folder)}, {folder})")
 
 
 def for_each_log_batch(
