@@ -1,0 +1,73 @@
+import re
+
+import pytest
+
+from tidemark.llm.licenses import Automaton, Template, scan_licenses, words_of
+
+TEXTS = [
+    None,
+    "",
+    "   \n",
+    "Released under the MIT License. MIT license, mit-LICENSE",
+    "the GNU General Public License, version 3.",
+    "GNU General Public License as published by the Free Software Foundation, either version 3",
+    "the Apache License, Version 2.0 é apache\tlicense",
+    "Licensed under the Apache License, Version 2.0",
+    "summit license and general public licenses",
+    "Licensed under CC BY-NC 4.0.",
+    "İ mit İ license mit license",
+    "mit " * 5000 + "license",
+]
+
+
+def brute(text):
+    folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
+    places = []
+    for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")):
+        parts = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
+    at = [i for i, _ in places]
+    return (
+        len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))
+    )
+
+
+def test_base_phrases_equal_a_plain_search(spark):
+    docs = spark.createDataFrame(
+        [(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, "mit license", "x"), (3, TEXTS[3], None)],
+        "doc_id long, text string, labels string",
+    )
+    rows = scan_licenses(docs).collect()
+    assert len(rows) == len(TEXTS) + 2
+    for r in rows:
+        text = "mit license" if r.doc_id is None else TEXTS[r.doc_id]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute(text)
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+        assert 0 <= r.score <= 1
+    found = {r.doc_id: r.labels for r in rows}
+    assert found[3] == "mit,mit-notice"
+    assert found[4] == found[5] == "gpl,gpl-3.0-notice"
+    assert found[7] == "apache,apache-2.0-notice"
+    assert found[9] == "cc-notice"
+
+
+def test_an_empty_table_gives_no_rows(spark):
+    assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, good",
+    [
+        ("a b d", True), ("a b c d", True), ("a x b d", True), ("a x y b c d", True), ("a x y z b d", False),
+        ("a c d", False), ("a b c c d", False), ("b d", False), ("a b", False),
+    ],
+)
+def test_regions(text, good):
+    automaton = Automaton([Template("t", 1.0, "a {0-2} b [c] d")])
+    assert bool(list(automaton.matches(words_of(text)))) is good
+
+
+def test_a_template_needs_a_first_word():
+    with pytest.raises(ValueError):
+        Automaton([Template("t", 1.0, "{1-2} a")])

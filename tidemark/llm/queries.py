@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import warc
+from tidemark.llm import licenses, warc
+from tidemark.llm.common import documents
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -15,6 +16,12 @@ def query(function):
     return function
 
 
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, notices and texts in each document."""
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 @query
 def op10_warc_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page's capture, from archives written and read back, in index order."""
