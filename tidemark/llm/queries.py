@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import licenses, warc
+from tidemark.llm import licenses, packing, warc
 from tidemark.llm.common import documents
 
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,6 +24,12 @@ def query(function):
     return function
 
 
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of at most 2048 tokens."""
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
+
+
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases, notices and texts in each document."""
