@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import licenses, packing, warc
+from tidemark.llm import licenses, packing, simhash, warc
 from tidemark.llm.common import documents
 
 
@@ -24,6 +24,12 @@ def query(function):
     return function
 
 
+@query
+def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints link at two bits or fewer."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces in sequences of at most 2048 tokens."""
