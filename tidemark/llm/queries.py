@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import licenses, packing, simhash, warc
+from tidemark.llm import licenses, packing, simhash, toxicity, warc
 from tidemark.llm.common import documents
 
 
@@ -36,6 +36,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+@query
+def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, learned from labels outside the held-out quarter."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.toxic_documents(documents(spark, sf_dir), labels)
+
+
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases, notices and texts in each document."""
