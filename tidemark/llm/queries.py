@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import licenses, packing, simhash, toxicity, warc
+from tidemark.llm import decontamination, licenses, packing, simhash, toxicity, warc, winnowing
 from tidemark.llm.common import documents
 
 
@@ -36,6 +36,21 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+@query
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each text and of its edited text, and their likeness."""
+    found = winnowing.fingerprint_documents(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        winnowing.as_text("marks").alias("fingerprint"),
+        winnowing.as_text("edited_marks").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @query
 def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document, learned from labels outside the held-out quarter."""
@@ -43,6 +58,13 @@ def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_documents(documents(spark, sf_dir), labels)
 
 
+@query
+def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, also with other numbers, names and units."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.decontaminate(documents(spark, sf_dir), benchmark)
+
+
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases, notices and texts in each document."""
