@@ -2,11 +2,12 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import Bin, UnitTokens, pack_documents, patterns
+from tidemark.llm.packing import Bin, TextIds, pack_documents, patterns
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -15,15 +16,19 @@ ODD = [
 ]
 
 
-def test_units_give_the_ids_of_whole_texts():
+def test_ranks_give_the_ids_of_the_tokenizer():
     plain = Tokenizer.from_file(PATH)
-    tokens = UnitTokens(PATH, remember=5)
+    tokens = TextIds(PATH)
+    assert tokens.ranked
     dice = random.Random(3)
-    texts = [x or "" for x in ODD] + ["".join(dice.choice("ab é'\n\t .1 \x1f") for _ in range(60)) for _ in range(400)]
+    common = [chr(c) for c in (*range(0x250), *range(0x2010, 0x2028))]
+    texts = [x or "" for x in ODD] + ["".join(dice.choice("ab é'\n\t .1 \x1f") for _ in range(60)) for _ in range(400)]
+    texts += ["".join(dice.choice(common) for _ in range(80)) for _ in range(2000)]
+    texts += [a + b + c for a in "x 1." for b in common for c in "y 1."]
+    texts += ["a" * 3000, " " * 3000 + "x", "ab " * 3000]
     for text in texts:
-        (got,) = tokens.of([text])
         want = plain.encode(text, add_special_tokens=False).ids
-        assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == want, repr(text)
+        assert np.frombuffer(tokens.of(text), dtype="<u4").tolist() == want, repr(text)
 
 
 def check(rows, docs, bin):
