@@ -47,3 +47,16 @@ def lower_ascii(text: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def sized(rows: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``rows``, to be broadcast if there are at most ``most``; else joined by a shuffle.
+
+    For stored tables with rows of a few dozen bytes: the count reads no column.
+    """
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def row_key() -> Column:
+    """Stands for a row (doc_id, text) where only some rows have to be found again."""
+    return F.xxhash64("doc_id", "text")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, licenses, packing, simhash, toxicity, warc, winnowing
+from tidemark.llm import decontamination, licenses, lines, packing, simhash, toxicity, warc, winnowing
 from tidemark.llm.common import documents
 
 
@@ -58,6 +59,13 @@ def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_documents(documents(spark, sf_dir), labels)
 
 
+@query
+def op6_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without lines that stand, within one edit, in an earlier place."""
+    found = lines.dedup_lines(documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, also with other numbers, names and units."""
@@ -101,3 +109,38 @@ select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
     strftime(make_timestamp((page_id % 1000000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as captured
 from k
 """
+
+ORACLES["op6_line_edit_join"] = r"""
+with d as (
+    select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
+), l as (
+    select doc_id, unnest(range(len(parts))) as n, unnest(parts) as line from d
+), f as (
+    select line, length(line) as size, min((doc_id, n)) as first from l where length(line) >= 20 group by line
+), halves as (
+    select line, size, first, left(line, size // 2) as head, right(line, size - size // 2) as tail from f
+), pairs as (
+    -- one edit leaves the first or the last half of the shorter line as it is
+    select a.line as a, b.line as b from halves a join f b
+        on b.size = a.size and left(b.line, b.size // 2) = a.head
+    union all select a.line, b.line from halves a join f b
+        on b.size = a.size and right(b.line, b.size - b.size // 2) = a.tail
+    union all select a.line, b.line from halves a join f b
+        on b.size - 1 = a.size and left(b.line, (b.size - 1) // 2) = a.head
+    union all select a.line, b.line from halves a join f b
+        on b.size - 1 = a.size and right(b.line, (b.size - 1) - (b.size - 1) // 2) = a.tail
+), near as (
+    select distinct a, b from pairs where a != b and levenshtein(a, b) <= 1
+), around as (
+    select a, b from near union select b, a from near
+), earliest as (
+    select f.line, least(f.first, min(g.first)) as first
+    from f left join around on around.a = f.line left join f g on g.line = around.b group by f.line, f.first
+), kept as (
+    select l.doc_id, l.n, l.line, e.first is not null and e.first < (l.doc_id, l.n) as gone
+    from l left join earliest e on e.line = l.line
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_removed,
+    sha256(coalesce(string_agg(line, chr(10) order by n) filter (not gone), '')) as kept_sha256
+from kept group by doc_id
+"""
