@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import row_key, sized, table
 
 #: Placeholders: private-use characters, which texts lose first.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
@@ -83,10 +83,6 @@ def find_items(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_00
     return reduce(DataFrame.union, found).distinct()
 
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def covered(same: str, run: Column) -> Column:
     """A text of 0 and 1 without its runs of 1 shorter than ``run`` (at most RUN)."""
     kept = F.col(same)
@@ -95,17 +91,8 @@ def covered(same: str, run: Column) -> Column:
     return kept
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5) -> DataFrame:
-    """For each row of ``docs`` (doc_id, text): whether it holds an item of ``benchmark`` (item_id, text).
-
-    It does if runs of at least eight template tokens (all tokens of a shorter item) cover
-    ``least_cover`` of an item and what stands in its placeholders maps one to one.  ``item_id`` is
-    the item with the largest cover, then the smallest id; ``n_items`` counts all that are
-    held.  Equal benchmark texts are one item under their smallest id.  Texts without
-    tokens, nulls included, hold nothing and are held by nothing; repeated rows
-    get equal results.  A passage in a third of all documents is a few rows for each
-    of them, pre-aggregated by document; documents are never compared with each other.
-    """
+def held_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5) -> DataFrame:
+    """(key, best, n_items) of the rows of ``docs`` that hold an item, stored; see ``decontaminate``."""
     asked = benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id"))
     asked = table(asked.select(F.xxhash64("text").alias("item"), "item_id", "text"), "benchmark")
     met = table(find_items(docs, asked), "met")
@@ -141,15 +128,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.
     )
     held = judged.where((F.col("n") >= least_cover * F.col("size")) & (F.col("pairs") == F.col("there")) & (F.col("pairs") == F.col("here")))
     held = held.withColumn("cover", F.col("n") / F.col("size")).join(asked.select("item", "item_id"), "item")
-    best = table(
-        held.groupBy("key").agg(
-            F.max(F.struct("cover", (-F.col("item_id")).alias("order"), "item_id")).alias("best"), F.count("*").alias("n_items")
-        ),
-        "held",
-    )
+    best = F.max(F.struct("cover", (-F.col("item_id")).alias("order"), "item_id")).alias("best")
+    return table(held.groupBy("key").agg(best, F.count("*").alias("n_items")), "held")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5) -> DataFrame:
+    """For each row of ``docs`` (doc_id, text): whether it holds an item of ``benchmark`` (item_id, text).
+
+    It does if runs of at least eight template tokens (all tokens of a shorter item) cover
+    ``least_cover`` of an item and what stands in its placeholders maps one to one.  ``item_id`` is
+    the item with the largest cover, then the smallest id; ``n_items`` counts all that are
+    held.  Equal benchmark texts are one item under their smallest id.  Texts without
+    tokens, nulls included, hold nothing and are held by nothing; repeated rows
+    get equal results.  A passage in a third of all documents is a few rows for each
+    of them, pre-aggregated by document; documents are never compared with each other.
+    """
     return (
         docs.select("doc_id", row_key().alias("key"))
-        .join(best, "key", "left")
+        .join(sized(held_items(docs, benchmark, least_cover)), "key", "left")
         .select(
             "doc_id",
             F.col("best").isNotNull().alias("contaminated"),

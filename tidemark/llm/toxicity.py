@@ -49,26 +49,34 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic, fold) of the rows that may be learned from, stored.
+def labelled(docs: DataFrame, labels: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """(text, is_toxic, fold) of the rows that may be learned from, stored.
 
-    A document with several labels counts as toxic if one says so.
+    A document with several labels counts as toxic if one says so.  Of equal texts with
+    the same label and fold one is taken.  Texts don't travel to be joined while
+    there are at most ``broadcast_rows`` labels of 24 bytes; beyond that they do.
     """
     known = labels.where("toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("is_toxic"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").withColumn("fold", fold())
-    rows = rows.withColumn("code", F.sha2("text", 256))
-    return table(rows.where(F.col("fold") != HELD_OUT).drop("doc_id"), "labelled")
+    known = known.withColumn("fold", fold()).where(F.col("fold") != HELD_OUT)
+
+    def sized(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if rows.count() <= broadcast_rows else rows
+
+    known = table(known, "labels")
+    coded = docs.select("doc_id", F.xxhash64("text").alias("a"), F.sha1("text").alias("b")).join(sized(known), "doc_id")
+    one = coded.groupBy("is_toxic", "fold", "a", "b").agg(F.min("doc_id").alias("doc_id"))
+    one = table(one.select("doc_id", "is_toxic", "fold").distinct(), "labels")
+    return table(docs.select("doc_id", "text").join(sized(one), "doc_id").drop("doc_id"), "labelled")
 
 
 def word_scores(rows: DataFrame, s: Settings) -> dict[bytes, float]:
     """Significant log-odds of words, from all of ``rows`` (text, is_toxic).
 
-    Copies of a text count once.  The prior of a word is its share of all counts.
+    The prior of a word is its share of all counts.
     A word must stand in a share of the toxic texts, so their number is at most the mean
     number of different words in a toxic text divided by ``least_share``: the
     dictionary that goes to the tasks doesn't grow with the corpus.
     """
-    rows = rows.dropDuplicates(["is_toxic", "code"])
     n = {r[0]: r[1] for r in rows.groupBy("is_toxic").count().collect()}
     if not n.get(0) or not n.get(1):
         return {}
