@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, licenses, lines, packing, simhash, toxicity, warc, winnowing
+from tidemark.llm import decontamination, licenses, lines, packing, simhash, suffixes, toxicity, warc, winnowing
 from tidemark.llm.common import documents
 
 
@@ -37,6 +37,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+@query
+def op3_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without bytes that a 400-byte string elsewhere repeats."""
+    return suffixes.remove_repeats(documents(spark, sf_dir)).drop("spans")
+
+
 @query
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of each text and of its edited text, and their likeness."""
