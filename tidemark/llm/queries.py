@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, licenses, lines, packing, simhash, suffixes, toxicity, warc, winnowing
+from tidemark.llm import decontamination, licenses, lines, packing, phrases, simhash, suffixes, toxicity, warc, winnowing
 from tidemark.llm.common import documents
 
 
@@ -72,6 +72,12 @@ def op6_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without passages of 50 words that an earlier document has."""
+    return phrases.remove_passages(documents(spark, sf_dir)).drop("kept_text")
+
+
 @query
 def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, also with other numbers, names and units."""
