@@ -1,0 +1,133 @@
+"""Nothing is passed over in silence: the two forms of a log, longer inputs, attempts without end."""
+
+import os
+from decimal import Decimal
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+from test_sources import MANIFEST, put, stream
+
+from tidemark.operators import pre_aggregate, watermark_audit
+from tidemark.plans import ORACLES, QUERIES
+from tidemark.session import Files
+from tidemark.sources import read_batch_log, read_manifest, write_manifest
+from tidemark.streaming.append_sink import AppendSink, appended, compact, finished, ledger_table
+from tidemark.streaming.cache import KeyedCache, cache_batches, cache_state
+from tidemark.streaming.running import into_table, run_steps
+
+DATA = "/root/testdata/sf0.001"
+
+
+def one_entry_log(spark, folder, partitions=2, steps=1):
+    rows = [(n, "a", "2024-01-01", partitions, False, True, f"{folder}/a") for n in range(steps)]
+    texts = spark.createDataFrame(rows, MANIFEST.replace("cti timestamp", "cti string"))
+    write_manifest(texts.withColumn("cti", F.col("cti").cast("timestamp")), f"{folder}/manifest")
+    return read_manifest(spark, f"{folder}/manifest")
+
+
+def both_forms(spark, folder, manifest):
+    """Sorted lines of the batch and of the stream form; None for a form that fails."""
+    out = []
+    for form in ("batch", "stream"):
+        try:
+            if form == "batch":
+                rows = read_batch_log(spark, manifest)
+            else:
+                run_steps(into_table(stream(spark, folder), f"{folder}/out"), f"{folder}/checkpoint")
+                rows = spark.read.parquet(f"{folder}/out")
+            out.append(sorted(r.value for r in rows.collect()))
+        except Exception:
+            out.append(None)
+    return out
+
+
+def test_files_beside_parts_are_read(spark, folder):
+    put(f"{folder}/a/part=0/x.txt", "a")
+    put(f"{folder}/a/part=1/x.txt", "b")
+    put(f"{folder}/a/top.txt", "c")
+    put(f"{folder}/a/_temporary/0/x.txt", "hidden")
+    put(f"{folder}/a/.x.txt", "hidden")
+    assert both_forms(spark, folder, one_entry_log(spark, folder)) == [["a", "b", "c"]] * 2
+
+
+@pytest.mark.parametrize("stray", ["part=2/x.txt", "hour=1/x.txt", "part=0/hour=1/x.txt"])
+def test_strays_fail_in_both_forms(spark, folder, stray):
+    put(f"{folder}/a/part=0/x.txt", "a")
+    put(f"{folder}/a/{stray}", "b")
+    assert both_forms(spark, folder, one_entry_log(spark, folder)) == [None, None]
+
+
+def test_a_missing_folder_fails_in_both_forms(spark, folder):
+    assert both_forms(spark, folder, one_entry_log(spark, folder)) == [None, None]
+
+
+def test_a_repeated_set_is_read_once_in_both_forms(spark, folder):
+    put(f"{folder}/a/x.txt", "a")
+    assert both_forms(spark, folder, one_entry_log(spark, folder, steps=3)) == [["a"]] * 2
+
+
+@pytest.fixture(scope="module")
+def two_months(spark, tmp_path_factory):
+    """The events of a month and once more a month later, some users without number."""
+    root = str(tmp_path_factory.mktemp("long"))
+    rows = spark.read.parquet(f"{DATA}/events.parquet")
+    later = rows.withColumn("event_id", F.col("event_id") + 1_000_000).withColumn("ts", F.expr("ts + interval 31 days"))
+    rows.union(later).coalesce(1).write.parquet(f"{root}/events.parquet")
+    return root
+
+
+@pytest.mark.skipif(not os.path.exists(DATA), reason="no test data")
+@pytest.mark.parametrize("name", ["cache_every_version", "timeout_processing_time", "state_changes", "state_metrics"])
+def test_a_longer_input_is_followed_to_its_end(spark, two_months, name):
+    frame = QUERIES[name](spark, two_months)
+    columns = sorted(frame.columns)
+    with duckdb.connect() as database:
+        database.execute(f"create view events as select * from '{two_months}/events.parquet/*.parquet'")
+        names = ", ".join(f'"{column}"' for column in columns)
+        want = database.execute(f"select {names} from ({ORACLES[name]})").fetchall()
+    got = [tuple(row) for row in frame.select(*columns).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_version_cleaned_up_is_an_error(spark, folder):
+    cache = KeyedCache(
+        f"{folder}/cache", key=F.col("k"), op=F.lit("put"), value=F.col("v"), seq=F.col("v"), full_every=2, keep=1
+    )
+    for n in range(6):
+        cache.write_batch(spark.createDataFrame([(n % 2, n)], "k long, v long"), n)
+    kept = cache_batches(spark, f"{folder}/cache")
+    assert kept and kept[-1] == 5
+    for version in range(6):
+        if version in kept:
+            assert {r.value for r in cache_state(spark, f"{folder}/cache", version).collect()} == {version, version - 1} - {-1}
+        else:
+            with pytest.raises(ValueError, match="isn't kept"):
+                cache_state(spark, f"{folder}/cache", version)
+
+
+def test_attempts_without_end_are_hidden(spark, folder):
+    sink = AppendSink(folder, path=F.col("p"), value=F.col("v"))
+    sink.write_batch(spark.createDataFrame([("x", "one")], "p string, v string"), 0)
+    put(f"{folder}/data/batch_id=1/out_path=x/part-0.txt", "attempt")
+    put(f"{folder}/ledger/1.start", '{"batch_id": 1, "status": "start"}')
+    put(f"{folder}/ledger/.2.done.abc.partial", '{"batch_id": 2, "status": "done"}')
+    assert finished(spark, folder) == [0]
+    assert [r.value for r in appended(spark, folder).collect()] == ["one"]
+    assert {(r.batch_id, r.status) for r in ledger_table(spark, folder).collect()} == {(0, "start"), (0, "done"), (1, "start")}
+    compact(spark, folder, f"{folder}/compacted")
+    assert [r.value for r in spark.read.text(f"{folder}/compacted").collect()] == ["one"]
+    assert "2" not in {name.partition(".")[0] for name in Files(spark, folder).names(f"{folder}/ledger")}
+
+
+def test_rows_without_a_batch_stay_in_the_audit(spark):
+    rows = [(None, "2024-01-03 00:00:00"), (1, "2024-01-02 00:00:00"), (1, "2024-01-05 00:00:00")]
+    frame = spark.createDataFrame(rows, "b int, t string").select("b", F.col("t").cast("timestamp").alias("t"))
+    got = {r.b: (r.n, r.late) for r in watermark_audit(frame, "b", "t", 0).collect()}
+    assert got == {None: (1, 0), 1: (2, 1)}
+
+
+def test_sums_of_decimals_are_wide_enough(spark):
+    rows = spark.range(20).select(F.lit(1).alias("k"), F.lit(Decimal("9.9")).cast("decimal(2,1)").alias("v"))
+    partial = pre_aggregate(rows, ["k"], {"s": ("v", "sum")})
+    assert partial.agg(F.sum("s")).first()[0] == Decimal("198.0")

@@ -27,7 +27,6 @@ from tidemark.operators import (
     mark_late,
     partition_local,
     pre_aggregate,
-    small_side,
     watermark_audit,
     with_watermark,
 )
@@ -244,10 +243,3 @@ def test_map_partitions_and_hook(spark, folder):
     with pytest.raises(Exception, match="stop here"):
         map_partitions(df.limit(2), failing, "id long", hook).collect()
     assert "0-False" in os.listdir(folder)
-
-
-def test_small_side(spark):
-    big, small = spark.range(1000), spark.range(10)
-    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        assert "BroadcastHashJoin" in plan(big.join(small_side(small, 10), "id"))
-        assert "SortMergeJoin" in plan(big.join(small_side(small, 9), "id"))

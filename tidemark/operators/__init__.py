@@ -3,7 +3,6 @@
 from .groups import flat_map_groups, group_by_key, map_groups
 from .local_groups import partition_local, pre_aggregate
 from .partitions import map_partitions
-from .sides import small_side
 from .watermark import (
     SINGLE_WATERMARK,
     batch_watermarks,
@@ -26,7 +25,6 @@ __all__ = [
     "partition_local",
     "policy_setting",
     "pre_aggregate",
-    "small_side",
     "watermark_audit",
     "with_watermark",
 ]

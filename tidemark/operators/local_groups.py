@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -88,11 +89,9 @@ def pre_aggregate(
         if function not in ("sum", "min", "max", "count"):
             raise ValueError(f"cannot merge partial results of {function!r} on {source!r}")
     kinds = {field.name: field.dataType.simpleString() for field in df.schema.fields}
-    types = [f"`{key}` {kinds[key]}" for key in keys]
-    types += [
-        f"`{name}` {_result_kind(kinds[source], function)}"
-        for name, (source, function) in aggregates.items()
-    ]
+    types = {key: kinds[key] for key in keys}
+    for name, (source, function) in aggregates.items():
+        types[name] = _result_kind(kinds[source], function)
     names = [*keys, *aggregates]
     first = [(source, function) for source, function in aggregates.values()]
     again = [
@@ -104,7 +103,7 @@ def pre_aggregate(
     def fold(table: pa.Table, steps: list[tuple[str, str]]) -> pa.Table:
         grouped = table.group_by(keys, use_threads=False).aggregate(steps)
         picked = [grouped[key] for key in keys]
-        picked += [grouped[f"{source}_{function}"] for source, function in steps]
+        picked += [_cast(grouped[f"{source}_{function}"], types[name]) for name, (source, function) in zip(aggregates, steps)]
         return pa.table(picked, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,12 +122,21 @@ def pre_aggregate(
         if parts:
             yield from fold(pa.concat_tables(parts), again).combine_chunks().to_batches()
 
-    return df.select(*used).mapInArrow(run, ", ".join(types))
+    return df.select(*used).mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in types.items()))
+
+
+def _cast(column: pa.ChunkedArray, kind: str) -> pa.ChunkedArray:
+    """Arrow widens decimals to 38 digits; Spark expects the declared number."""
+    found = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    return column.cast(pa.decimal128(int(found[1]), int(found[2]))) if found else column
 
 
 def _result_kind(kind: str, function: str) -> str:
     if function == "count":
         return "long"
+    if function == "sum" and (found := re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)):
+        # As Spark widens a sum.
+        return f"decimal({min(38, int(found[1]) + 10)},{found[2]})"
     if function == "sum":
         return {"tinyint": "long", "smallint": "long", "int": "long", "float": "double"}.get(kind, kind)
     return kind

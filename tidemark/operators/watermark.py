@@ -15,7 +15,6 @@ from pyspark.sql.types import TimestampNTZType
 from pyspark.sql.window import Window
 
 from ..functions import event_time_ms
-from .sides import small_side
 
 POLICIES = ("min", "max")
 
@@ -66,10 +65,15 @@ def batch_watermarks(
 
 def mark_late(df: DataFrame, batch: str, event_time: str, delay_ms: int) -> DataFrame:
     """The rows with the watermark in force for them and whether they are late."""
-    bounds = batch_watermarks(df, batch, event_time, delay_ms).select(batch, "watermark_ms")
+    bounds = batch_watermarks(df, batch, event_time, delay_ms).select(
+        F.col(batch).alias("__batch"), "watermark_ms"
+    )
     micros = F.unix_micros(F.col(event_time).cast("timestamp"))
-    return df.join(small_side(bounds), batch).withColumn(
-        "late", micros <= F.col("watermark_ms") * 1000
+    # Null-safe: rows without a batch come before all others and are kept.
+    return (
+        df.join(bounds, F.col(batch).eqNullSafe(F.col("__batch")))
+        .drop("__batch")
+        .withColumn("late", micros <= F.col("watermark_ms") * 1000)
     )
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_folder
-from ..streaming.cache import KeyedCache, cache_answers, cache_state
+from ..streaming.cache import KeyedCache, cache_answers, cache_batches, cache_state
 from ..streaming.running import run_available, run_steps
 from .inputs import DECADE_SQL, events_stream, log_stream, parsed
 from .registry import query
@@ -194,6 +196,6 @@ def cache_every_version(spark: SparkSession, sf_dir: str) -> DataFrame:
         cache_state(spark, root, version).select(
             F.lit(version).cast("long").alias("version"), "key", "value"
         )
-        for version in range(3)
+        for version in cache_batches(spark, root)
     ]
-    return versions[0].unionByName(versions[1]).unionByName(versions[2])
+    return reduce(DataFrame.unionByName, versions)

@@ -16,9 +16,10 @@ from ..operators import (
     with_watermark,
 )
 from ..session import new_folder, settings, state_settings
+from ..sources import read_manifest
 from ..streaming.checkpoints import state_table
 from ..streaming.running import into_table, run_available, run_once, run_steps
-from .inputs import DECADE_SQL, events, events_stream, log_stream, parsed
+from .inputs import DECADE_SQL, events, events_stream, log_folder, log_stream, parsed
 from .registry import query
 
 COUNTS_SQL = "select user_id, count(*) as n from events group by user_id"
@@ -233,8 +234,9 @@ def timeout_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
     history = new_folder(spark, "history")
+    steps = read_manifest(spark, f"{log_folder(spark, sf_dir, 'closing')}/manifest")
     with settings(spark, state_settings(spark)):
-        for _ in range(4):
+        for _ in range(steps.select("offset").distinct().count()):
             stream = log_stream(spark, sf_dir, "closing", historyPath=history)
             watched = flat_map_groups(
                 _user_counts(parsed(stream)),

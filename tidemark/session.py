@@ -39,18 +39,13 @@ def is_local(spark: SparkSession) -> bool:
 def state_settings(spark: SparkSession, **extra: str) -> dict[str, str]:
     """Options for streams that keep state.
 
-    RocksDB keeps state outside the heap and logs changes per batch.  On one
-    machine each state task is joined by Python workers, so half as many tasks
-    as cores are enough; on a cluster the configured number is left alone.
+    RocksDB keeps state outside the heap and logs changes per batch.  The number of
+    state partitions is the session's ``spark.sql.shuffle.partitions``.
     """
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if is_local(spark):
-        partitions = min(partitions, max(1, spark.sparkContext.defaultParallelism // 2))
     provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     values = {
         "spark.sql.streaming.stateStore.providerClass": provider,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-        "spark.sql.shuffle.partitions": str(partitions),
     }
     values.update(extra)
     return values
@@ -98,14 +93,16 @@ class Files:
     def names(self, path: str) -> list[str]:
         if not self.exists(path):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
+        found = (s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
+        return sorted(name for name in found if not name.startswith("."))
 
     def size(self, path: str) -> int:
         return self._fs.getContentSummary(self._path(path)).getLength()
 
     def put(self, path: str, text: str) -> None:
         """Write a small file in one step: readers see all of it or nothing."""
-        partial = self._path(f"{path}.{uuid.uuid4().hex[:8]}.partial")
+        folder, _, name = path.rpartition("/")
+        partial = self._path(f"{folder}/.{name}.{uuid.uuid4().hex[:8]}.partial")
         stream = self._fs.create(partial, True)
         try:
             stream.write(bytearray(text, "utf-8"))

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.sides import SMALL_ROWS
 from ..session import Files
-from .manifest import MANIFEST_SCHEMA, seen_before, stamp
+from .manifest import MANIFEST_SCHEMA, repeated_steps, seen_before, stamp
 
 PART_OF_FILE = r"/part=([0-9]+)/[^/]+$"
+BROADCAST_BYTES = 8 << 20  # of folder names; more entries are joined by a shuffle
 
 
 def read_batch_log(
@@ -27,7 +27,8 @@ def read_batch_log(
 
     Only ready entries are read, and only their folders are listed.  An entry
     that stays in the set for several steps is emitted at each of them;
-    ``emit="new"`` emits it once.  A step missing from the range is an error.
+    ``emit="new"`` emits it once.  A step whose set equals that of the step before
+    brings nothing new and is passed over.  A step missing from the range is an error.
     """
     if emit not in ("set", "new"):
         raise ValueError(f"emit must be 'set' or 'new', not {emit!r}")
@@ -39,6 +40,8 @@ def read_batch_log(
     # Control data: one row per entry of the range.
     rows = _control_rows(marked)
     steps = {row.offset for row in rows}
+    again = {row.offset for row in repeated_steps(manifest).collect()}
+    rows = [row for row in rows if row.offset not in again]
     last = end if end is not None else max(steps, default=start)
     if missing := set(range(max(start, -1) + 1, last + 1)) - steps:
         raise ValueError(f"the manifest lacks steps {sorted(missing)[:5]} up to {last}")
@@ -58,7 +61,7 @@ def _all_new(entries: DataFrame) -> DataFrame:
 
 def _control_rows(entries: DataFrame) -> list[Row]:
     micros = F.unix_micros("cti").alias("cti_us")
-    flags = ["is_snapshot", "is_ready", "repeated"]
+    flags = ["partitions", "is_snapshot", "is_ready", "repeated"]
     return entries.select("offset", "name", micros, "path", *flags).collect()
 
 
@@ -75,10 +78,10 @@ def _scan(spark: SparkSession, entries: list[Row], with_partition: bool) -> Data
         return spark.createDataFrame([], empty + (", partition int" if with_partition else ""))
     folders = _folder_keys(spark, {row.path for row in rows})
     keyed = spark.createDataFrame(
-        [(key, r.name, r.cti_us, r.is_snapshot) for r in rows for key in folders[r.path]],
-        "folder string, name string, cti_us long, is_snapshot boolean",
+        [(key, r.name, r.cti_us, r.is_snapshot, r.partitions) for r in rows for key in folders[r.path]],
+        "folder string, name string, cti_us long, is_snapshot boolean, partitions int",
     )
-    if len(rows) <= SMALL_ROWS:
+    if sum(len(key) + 64 for r in rows for key in folders[r.path]) <= BROADCAST_BYTES:
         keyed = F.broadcast(keyed)
     file = F.col("_metadata.file_path")
     part = F.regexp_extract(file, PART_OF_FILE, 1).try_cast("int")
@@ -88,11 +91,15 @@ def _scan(spark: SparkSession, entries: list[Row], with_partition: bool) -> Data
         .select(
             "value",
             _entry_folder().alias("folder"),
-            *([part.alias("partition")] if with_partition else []),
+            part.alias("partition"),
         )
     )
+    # The stream form refuses the same files: none is passed over in silence.
+    stray = F.raise_error(F.concat(F.lit("a file belongs to no partition of its entry: "), "folder"))
+    known = F.col("partitions").isNotNull() & (F.coalesce("partition", F.lit(0)) < F.col("partitions"))
     return (
-        lines.join(keyed, "folder")
+        lines.join(keyed, "folder", "left")
+        .withColumn("name", F.when(known, F.col("name")).otherwise(stray))
         .withColumn("cti", stamp(F.col("is_snapshot"), F.timestamp_micros("cti_us")))
         .select(*columns)
     )

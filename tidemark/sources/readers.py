@@ -65,8 +65,9 @@ class LogReader:
 class ManifestReader(LogReader):
     """Follows a manifest written by ``write_manifest``.
 
-    Lines of entry partition i lie in ``<path>/part=i/`` when that folder layout
-    is used; otherwise the files of the entry are dealt out by position.  Files
+    Files in ``<path>/part=i/`` belong to partition i of the entry; files directly in its
+    folder are dealt out by position.  A missing folder, a part beyond the entry's
+    partitions and any other sub-folder are errors: nothing is passed over.  Files
     are cut into ranges of ``splitBytes`` so that one large partition becomes
     many tasks.
     """
@@ -129,16 +130,17 @@ class ManifestReader(LogReader):
         fs, folder = file_system(entry.path.rstrip("/"))
         if partition == 0:
             # One listing serves all partitions of the entry.
-            selector = pafs.FileSelector(folder, allow_not_found=True, recursive=True)
+            selector = pafs.FileSelector(folder, recursive=True)
             self._files = sorted(
                 (info.path[len(folder) :], info.size)
                 for info in fs.get_file_info(selector)
-                if info.is_file and not info.base_name.startswith(("_", "."))
+                if info.is_file and not _hidden(info.path[len(folder) :])
             )
-        if any(path.startswith("/part=") for path, _ in self._files):
-            files = [f for f in self._files if f[0].startswith(f"/part={partition}/")]
-        else:
-            files = self._files[partition :: entry.partitions]
+            for path, _ in self._files:
+                check_place(path, entry)
+        beside = [f for f in self._files if "/" not in f[0][1:]]
+        files = [f for f in self._files if f[0].startswith(f"/part={partition}/")]
+        files += beside[partition :: entry.partitions]
         return [
             (entry.path.rstrip("/") + path, start, min(self.split_bytes, size - start))
             for path, size in files
@@ -152,6 +154,21 @@ class ManifestReader(LogReader):
         yield from lines_of_range(path, start, length)
 
 
+def _hidden(path: str) -> bool:
+    """As in Spark's own scans: a name in the path starts with ``_`` or ``.``."""
+    return any(name.startswith(("_", ".")) for name in path.split("/"))
+
+
+def check_place(path: str, entry: LogEntry) -> None:
+    """A file lies in its entry's folder or in ``part=i`` with i below the partitions."""
+    folders = path.strip("/").split("/")[:-1]
+    if not folders:
+        return
+    part = folders[0].removeprefix("part=")
+    if len(folders) > 1 or folders[0] == part or not part.isdigit() or int(part) >= entry.partitions:
+        raise ValueError(f"{entry.path}{path} belongs to no partition of its entry ({entry.partitions})")
+
+
 def lines_of_range(path: str, start: int, length: int) -> Iterator[pa.Array]:
     """Lines that begin inside a byte range of a text file, block by block.
 

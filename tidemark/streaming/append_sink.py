@@ -139,9 +139,27 @@ def ledger_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def appended(spark: SparkSession, root: str) -> DataFrame:
-    """The rows written so far: ``batch_id``, ``out_path``, ``value``."""
+    """The rows of finished batches: ``batch_id``, ``out_path``, ``value``.
+
+    What an attempt wrote that has no done record yet isn't shown.  Batches older than
+    all records had theirs purged, so they were done.
+    """
     schema = "value string, batch_id long, out_path string"
-    return spark.read.schema(schema).text(f"{root}/data", lineSep="\n")
+    paths = [f"{root}/data/batch_id={n}" for n in finished(spark, root)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/data").text(paths, lineSep="\n")
+
+
+def finished(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the batches in ``root`` that were written as a whole."""
+    files = Files(spark, root)
+    records = [name.partition(".") for name in files.names(f"{root}/ledger")]
+    done = {int(n) for n, _, status in records if status == "done" and n.isdigit()}
+    started = {int(n) for n, _, status in records if status in ("start", "done") and n.isdigit()}
+    oldest = min(started, default=0)
+    names = (name.removeprefix("batch_id=") for name in files.names(f"{root}/data"))
+    return sorted(int(n) for n in names if n.isdigit() and (int(n) in done or int(n) < oldest))
 
 
 def compact(spark: SparkSession, root: str, target: str, file_bytes: int = FILE_BYTES) -> None:
@@ -152,7 +170,8 @@ def compact(spark: SparkSession, root: str, target: str, file_bytes: int = FILE_
     file, or two where a range ends inside it, a large one becomes several whose
     names sort in the order of their lines.
     """
-    size = Files(spark, root).size(f"{root}/data")
+    files = Files(spark, root)
+    size = sum(files.size(f"{root}/data/batch_id={n}") for n in finished(spark, root))
     partitions = max(1, -(-size // file_bytes))
     position = ["batch_id", "file", "block", "line"]
     lines = appended(spark, root).select(

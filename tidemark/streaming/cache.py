@@ -244,15 +244,30 @@ def _change_schema(rows: DataFrame) -> StructType:
     return typed.withColumn("version", F.lit(None).cast("long")).schema
 
 
+def cache_batches(spark: SparkSession, root: str) -> list[int]:
+    """The versions that ``cache_state`` can give: batches not yet cleaned up."""
+    files = Files(spark, root)
+    full = min(_batches(files, f"{root}/full"), default=None)
+    batches = sorted(_batches(files, f"{root}/changes"))
+    if full is None or not batches or batches[0] == 0:
+        return batches
+    return [n for n in batches if n >= full]
+
+
 def cache_state(
     spark: SparkSession, root: str, version: int | None = None, now: Column | None = None
 ) -> DataFrame:
     """The cache as rows ``(cache, key, value, seq)``, after a batch or now.
 
+    A version that was cleaned up already is an error.
+
     ``now`` leaves out values that have expired by that time.
     """
+    kept = cache_batches(spark, root)
     if version is None:
-        version = max(_batches(Files(spark, root), f"{root}/changes"), default=-1)
+        version = max(kept, default=-1)
+    elif version not in kept:
+        raise ValueError(f"version {version} of the cache isn't kept; there are {kept[:1]} to {kept[-1:]}")
     schema = _change_schema(spark.read.parquet(f"{root}/changes"))
     rows = cache_versions(spark, root, version, schema).filter(F.col("op") == "put")
     if now is not None:

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+# Start a stream with this to keep the reports of so many batches.
+ALL_REPORTS = {"spark.sql.streaming.numRecentProgressUpdates": "100000"}
+
+
 def state_table(
     spark: SparkSession,
     checkpoint: str,
@@ -50,7 +54,15 @@ def state_catalog(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 def state_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent batch and stateful operator of a running query."""
+    """One row per batch and stateful operator of a query, since it started.
+
+    Spark keeps a limited number of reports, 100 unless the stream was started with
+    ``ALL_REPORTS`` or another limit; once earlier ones are gone this is an error.
+    """
+    reports = query.recentProgress
+    limit = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(reports) >= limit and reports[0]["batchId"] > 0:
+        raise ValueError(f"only the last {len(reports)} reports are left, from batch {reports[0]['batchId']} on")
     rows = [
         (
             progress["batchId"],
@@ -61,7 +73,7 @@ def state_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
             operator["numRowsRemoved"],
             operator["memoryUsedBytes"],
         )
-        for progress in query.recentProgress
+        for progress in reports
         for number, operator in enumerate(progress["stateOperators"])
     ]
     return spark.createDataFrame(
@@ -72,8 +84,15 @@ def state_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def watermark_history(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Per batch: the watermark in force, and the one recorded at its end."""
+    """Per batch: the watermark in force, and the one recorded at its end.
+
+    A checkpoint keeps the records of ``spark.sql.streaming.minBatchesToRetain`` batches (100);
+    if earlier ones are gone this is an error.
+    """
     in_force = _records(spark, f"{checkpoint}/offsets", "batchWatermarkMs")
+    first = in_force.agg(F.min("batch_id")).first()[0]
+    if first:
+        raise ValueError(f"the checkpoint has no records of the batches before {first}")
     after = _records(spark, f"{checkpoint}/commits", "nextBatchWatermarkMs")
     return in_force.withColumnRenamed("ms", "watermark_ms").join(
         after.withColumnRenamed("ms", "next_watermark_ms"), "batch_id", "left"
