@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_sources import MANIFEST, put, stream
 
-from tidemark.operators import pre_aggregate, watermark_audit
+from tidemark.operators import map_partitions, partition_local, pre_aggregate, watermark_audit
 from tidemark.plans import ORACLES, QUERIES
 from tidemark.session import Files
 from tidemark.sources import read_batch_log, read_manifest, write_manifest
@@ -131,3 +131,14 @@ def test_sums_of_decimals_are_wide_enough(spark):
     rows = spark.range(20).select(F.lit(1).alias("k"), F.lit(Decimal("9.9")).cast("decimal(2,1)").alias("v"))
     partial = pre_aggregate(rows, ["k"], {"s": ("v", "sum")})
     assert partial.agg(F.sum("s")).first()[0] == Decimal("198.0")
+
+
+def test_long_numbers_beside_nulls_keep_their_digits(spark):
+    big = 2**53 + 1
+    frame = spark.createDataFrame([(big, 1), (None, 2), (big, 3), (None, None)], "k long, v long").coalesce(1)
+    counts = partition_local(
+        frame, ["k"], lambda key, rows, state: (state or 0) + len(rows), lambda key, n: [(*key, n)], "k long, n long", chunk_rows=1
+    )
+    assert sorted(map(tuple, counts.collect()), key=str) == [(big, 2), (None, 2)]
+    same = map_partitions(frame, lambda chunks: chunks, "k long, v long")
+    assert sorted(map(tuple, same.collect()), key=str) == sorted(map(tuple, frame.collect()), key=str)

@@ -9,7 +9,8 @@ from typing import Any
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+
+from .frames import arrow_schema, plain_key, session_zone, to_frame
 
 Update = Callable[[tuple, pd.DataFrame, Any], Any]
 Finish = Callable[[tuple, Any], list[tuple]]
@@ -29,32 +30,35 @@ def partition_local(
     ``update(key, rows, state)`` takes a chunk of a key's rows and its state
     (``None`` at first) and returns the new state; ``finish(key, state)`` gives
     the rows to emit as tuples.  Besides the states only ``chunk_rows`` rows are
-    held, never the rows of a group.
+    held, never the rows of a group.  Nulls in a key are ``None`` and one group; whole
+    numbers with nulls keep all their digits.
 
     A key that lies in several partitions yields one group in each.  With
     ``max_groups`` a partition also emits and forgets its states whenever it
     holds more keys, so memory stays bounded; give it if the outputs of one key
     can be merged afterwards.
     """
-    names = StructType.fromDDL(output).names
+    schema, zone = arrow_schema(output), session_zone(df.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[tuple, Any] = {}
 
-        def emitted() -> Iterator[pd.DataFrame]:
+        def emitted() -> Iterator[pa.RecordBatch]:
             rows = [row for key, state in states.items() for row in finish(key, state)]
             states.clear()
             if rows:
-                yield pd.DataFrame.from_records(rows, columns=names)
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-        for chunk in _chunks(batches, chunk_rows):
+        for chunk in _chunks((to_frame(batch, zone) for batch in batches), chunk_rows):
             for key, rows in chunk.groupby(keys, sort=False, dropna=False):
+                key = plain_key(key)
                 states[key] = update(key, rows, states.get(key))
             if max_groups is not None and len(states) > max_groups:
                 yield from emitted()
         yield from emitted()
 
-    return df.mapInPandas(run, output)
+    return df.mapInArrow(run, output)
 
 
 def _chunks(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:

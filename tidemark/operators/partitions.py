@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .frames import arrow_schema, session_zone, to_batch, to_frame
+
 PartitionFunction = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 # Called with the partition number and whether all of its output was produced.
 Hook = Callable[[int, bool], None]
@@ -24,21 +27,24 @@ def map_partitions(
     ``on_complete`` runs in the task when the partition ends, after success,
     failure or an early stop alike, also for a partition without rows.  A task
     that Spark repeats calls it again.  An empty partition never reaches the
-    function.
+    function.  Whole numbers with nulls have pandas' nullable types.
     """
+    schema, zone = arrow_schema(output), session_zone(df.sparkSession)
 
-    def run(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = (to_frame(batch, zone) for batch in batches)
         finished = False
         try:
             chunk = next((c for c in chunks if len(c)), None)
             if chunk is not None:
-                yield from function(_from(chunk, chunks))
+                for frame in function(_from(chunk, chunks)):
+                    yield to_batch(frame, schema, zone)
             finished = True
         finally:
             if on_complete is not None:
                 on_complete(TaskContext.get().partitionId(), finished)
 
-    return df.mapInPandas(run, output)
+    return df.mapInArrow(run, output)
 
 
 def _from(first: pd.DataFrame, rest: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
