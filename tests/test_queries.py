@@ -11,6 +11,10 @@ DATA = "/root/testdata/sf0.001"
 FAST = [
     "batchlog_range",
     "batchlog_partitions",
+    "batchlog_set_changes",
+    "batchlog_tables_new",
+    "batchlog_tables_set",
+    "cache_abort",
     "flatmap_batch",
     "group_by_computed_key",
     "ledger_retention",

@@ -113,8 +113,10 @@ def cache_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     with steps as (
-        select *, user_id * 100 + day(ts) as key, {DECADE_SQL} as step from events),
-    aborted as (select distinct key, step from steps where event_type = 'signup'),
+        select *, user_id as key, {DECADE_SQL} as step from events),
+    aborted as (
+        select distinct key, step from steps
+        where event_type = 'signup' and day(ts) > 10 and user_id % 3 = 0),
     changes as (
         select s.key, event_id as seq,
                case when event_type = 'error' then 'remove' else 'put' end as op
@@ -125,10 +127,11 @@ def cache_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def cache_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys are users by day; a signup aborts its key's batch: no change is kept."""
-    op = F.when(F.col("event_type") == "signup", "abort").otherwise(_op())
-    key = F.col("user_id") * 100 + F.dayofmonth("ts")
-    return cache_state(spark, _run(spark, sf_dir, op=op, key=key)).select("key", "value")
+    """From the eleventh day on, a signup of every third user aborts that user's batch: its
+    changes are dropped, the values of earlier batches stay."""
+    aborts = (F.col("event_type") == "signup") & (F.dayofmonth("ts") > 10) & (F.col("user_id") % 3 == 0)
+    op = F.when(aborts, "abort").otherwise(_op())
+    return cache_state(spark, _run(spark, sf_dir, op=op)).select("key", "value")
 
 
 @query(

@@ -157,3 +157,44 @@ def log_stream(spark: SparkSession, sf_dir: str, kind: str, **options: str) -> D
         .options(**options)
         .load()
     )
+
+
+def tables_log(spark: SparkSession, sf_dir: str) -> str:
+    """A log of two tables that advance at different steps.
+
+    At step k the set holds the k-th ten days of ``events`` and the (k/2)-th year of ``orders``, or
+    their last ones: entries stay in the set for several steps.  The last year isn't ready.
+    """
+    root = new_folder(spark, "log-tables")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderdate is not null")
+    year = F.trunc(F.col("o_orderdate").cast("date"), "year")
+    lines = {
+        "events": events(spark, sf_dir).where("ts is not null").select(first_days_of_decades().alias("step"), event_line().alias("line")),
+        "orders": orders.select(year.alias("step"), F.concat_ws("|", "o_orderkey", "o_custkey").alias("line")),
+    }
+    entries = []
+    for name, rows in lines.items():
+        rows.hint("rebalance", "step").write.partitionBy("step").text(f"{root}/{name}")
+        # One row per step from here on.
+        steps = rows.select("step").distinct()
+        place = F.row_number().over(Window.orderBy("step")) - 1
+        entries.append(steps.select(F.lit(name).alias("name"), "step", place.alias("place")))
+    ranked = entries[0].unionByName(entries[1])
+    pace = F.when(F.col("name") == "events", 1).otherwise(2)
+    counted = ranked.withColumn("pace", pace).withColumn("last", F.max("place").over(Window.partitionBy("name")))
+    end = F.max(F.col("place") * F.col("pace")).over(Window.partitionBy())
+    tables = counted.withColumn("end", end).select("name", "last", "pace", "end").distinct()
+    sets = tables.withColumn("offset", F.explode(F.sequence(F.lit(0), "end")))
+    here = F.least(F.floor(F.col("offset") / F.col("pace")), F.col("last")).cast("int")
+    manifest = sets.withColumn("place", here).join(counted.select("name", "place", "step"), ["name", "place"])
+    manifest = manifest.select(
+        F.col("offset").cast("long"),
+        "name",
+        F.col("step").cast("timestamp").alias("cti"),
+        F.lit(2).alias("partitions"),
+        F.lit(False).alias("is_snapshot"),
+        ((F.col("name") == "events") | (F.col("place") < F.col("last"))).alias("is_ready"),
+        F.concat(F.lit(f"{root}/"), "name", F.lit("/step="), F.col("step").cast("string")).alias("path"),
+    )
+    write_manifest(manifest, f"{root}/manifest")
+    return root

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_folder
-from ..sources import for_each_log_batch, history_table, read_batch_log, read_manifest
+from ..sources import for_each_log_batch, history_table, only_new, read_batch_log, read_manifest, register
 from ..streaming.running import into_table, run_steps
-from .inputs import DECADE_SQL, LINE_SQL, log_folder, log_stream
+from .inputs import DECADE_SQL, LINE_SQL, log_folder, log_stream, tables_log
 from .registry import query
 
 FIRST = "(select min(ts::date) from events)"
@@ -148,3 +148,80 @@ def batchlog_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = log_folder(spark, sf_dir, "days")
     manifest = read_manifest(spark, f"{root}/manifest")
     return _with_ms(read_batch_log(spark, manifest, start=9, end=19))
+
+
+TABLES_SQL = f"""
+    with e as (
+        select {DECADE_SQL} as d, count(*) as rows from events where ts is not null group by d),
+    o as (
+        select date_trunc('year', o_orderdate)::date as d, count(*) as rows
+        from orders where o_orderdate is not null group by d),
+    entries as (
+        select 'events' as name, d, rows, row_number() over (order by d) - 1 as place, 1 as pace from e
+        union all
+        select 'orders', d, rows, row_number() over (order by d) - 1, 2 from o),
+    ranked as (select *, max(place) over (partition by name) as last from entries),
+    steps as (select unnest(range((select max(place * pace) from ranked) + 1)) as k),
+    sets as (
+        select k, r.* from steps join ranked r on r.place = least(k // r.pace, r.last)),
+    marked as (
+        select *, lag(place) over (partition by name order by k) is distinct from place as fresh from sets),
+    kept as (
+        -- a step that repeats the whole set is none
+        select *, bool_or(fresh) over (partition by k) as differs from marked)
+"""
+TABLES_OUT = "name, epoch_ms(d::timestamp) as cti_ms"
+READY = "(name = 'events' or place < last)"
+
+
+def _tables(spark: SparkSession, sf_dir: str, emit: str) -> DataFrame:
+    """Rows per entry in both forms of the log of two tables."""
+    root = tables_log(spark, sf_dir)
+    register(spark)
+    stream = (
+        spark.readStream.format("batchlog")
+        .option("reader", "manifest")
+        .option("manifestPath", f"{root}/manifest")
+        .option("historyPath", new_folder(spark, "history"))
+        .option("emit", emit)
+        .load()
+    )
+    out = new_folder(spark, "out")
+    run_steps(into_table(stream, out), new_folder(spark, "checkpoint"))
+    batch = read_batch_log(spark, read_manifest(spark, f"{root}/manifest"), emit=emit)
+    forms = {"batch": batch, "stream": spark.read.parquet(out).select("name", "cti", "value")}
+    both = [rows.select(F.lit(form).alias("form"), "name", "cti") for form, rows in forms.items()]
+    counts = both[0].unionByName(both[1]).groupBy("form", "name", F.unix_millis("cti").alias("cti_ms"))
+    return counts.agg(F.count("*").alias("n"))
+
+
+@query(
+    TABLES_SQL
+    + f"""
+    select form, {TABLES_OUT}, sum(rows)::bigint as n
+    from kept, (values ('batch'), ('stream')) forms (form)
+    where differs and {READY} group by all
+    """
+)
+def batchlog_tables_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of two tables: every entry of each set, at each of its steps."""
+    return _tables(spark, sf_dir, "set")
+
+
+@query(
+    TABLES_SQL
+    + f"""
+    select form, {TABLES_OUT}, rows as n
+    from kept, (values ('batch'), ('stream')) forms (form) where fresh and {READY}
+    """
+)
+def batchlog_tables_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log, each entry once."""
+    return _tables(spark, sf_dir, "new")
+
+
+@query(TABLES_SQL + f"""select k as "offset", {TABLES_OUT}, {READY} as is_ready from kept where fresh""")
+def batchlog_set_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of the log adds to the set of the step before."""
+    manifest = read_manifest(spark, f"{tables_log(spark, sf_dir)}/manifest")
+    return only_new(manifest).select("offset", "name", F.unix_millis("cti").alias("cti_ms"), "is_ready")
