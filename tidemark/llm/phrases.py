@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, table
-from tidemark.llm.repeats import Window, merged, numbered, repeated_windows, with_lists
+from tidemark.llm.repeats import Window, merged, numbered, repeated_windows, stretches, with_stretches
 
 _LAST = 2**63 - 1
 
@@ -95,7 +95,7 @@ def remove_passages(docs: DataFrame, length: int = 50, gram: int = 8, block_word
     """
     w = Window(length, min(gram, length), (1,))
     rows = numbered(docs, F.coalesce("doc_id", F.lit(_LAST)))
-    covered = table(repeated_windows(rows, word_units, w, earlier=True), "passages")
+    found = stretches(repeated_windows(rows, word_units, w, earlier=True), by_first=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(block: Block) -> pa.RecordBatch:
@@ -128,5 +128,5 @@ def remove_passages(docs: DataFrame, length: int = 50, gram: int = 8, block_word
         yield flush(block)
 
     with small_batches(docs.sparkSession):
-        full = with_lists(rows, covered, ["lo", "hi", "first"])
+        full = with_stretches(rows, found)
         return table(full.select("doc_id", "doc", "text", "covered").mapInArrow(cut, RESULT), "without-passages")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import sized, small_batches, table
+from tidemark.llm.common import sized, table
 
 CHUNK = 1 << 20  # units handled at once; a longer text is several pieces
 U = np.uint64
@@ -258,12 +258,47 @@ def repeated_windows(docs: DataFrame, units_of: Callable, w: Window, earlier: bo
     return reduce(DataFrame.union, found)
 
 
-def with_lists(docs: DataFrame, covered: DataFrame, columns: list[str], most: int = 4_000_000) -> DataFrame:
-    """``docs`` with the list ``covered`` of each row, null for none."""
-    lists = covered.groupBy("key").agg(F.collect_list(F.struct(*columns)).alias("covered"))
-    if covered.count() <= most:
-        lists = F.broadcast(lists)
-    return docs.join(lists, "key", "left")
+STRETCHES = "key long, covered array<struct<lo:int,hi:int,first:long>>"
+
+
+def stretches(covered: DataFrame, by_first: bool) -> DataFrame:
+    """One row per key with its covered window starts, neighbouring stretches joined; stored.
+
+    With ``by_first`` only stretches with the same first document are joined, else ``first`` is 0.
+    What is left of a document is few numbers, however long its repeats.
+    """
+    first = F.col("first") if by_first else F.lit(0).cast("long")
+    lists = covered.select("key", F.struct("lo", "hi", first.alias("first")).alias("one")).groupBy("key").agg(
+        F.collect_set("one").alias("every")
+    )
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("first", pa.int64())]))
+        for batch in batches:
+            out = []
+            for every in batch["every"]:
+                lo, hi, owner = (every.values.field(i).to_numpy() for i in range(3))
+                joined: list[dict] = []
+                for i in np.lexsort((hi, lo, owner)).tolist():
+                    last = joined[-1] if joined else None
+                    if last and last["first"] == owner[i] and lo[i] <= last["hi"] + 1:
+                        last["hi"] = max(last["hi"], int(hi[i]))
+                    else:
+                        joined.append({"lo": int(lo[i]), "hi": int(hi[i]), "first": int(owner[i])})
+                out.append(joined)
+            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(out, kind)], names=["key", "covered"])
+
+    return table(lists.mapInArrow(join, STRETCHES), "stretches")
+
+
+def with_stretches(docs: DataFrame, found: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """``docs`` with the list ``covered`` of each row, null for none.
+
+    Up to ``most`` stretches (16 bytes each) are broadcast and texts stay in place; beyond that
+    both are shuffled.
+    """
+    total = found.agg(F.sum(F.size("covered"))).first()[0] or 0
+    return docs.join(F.broadcast(found) if total <= most else found, "key", "left")
 
 
 def numbered(docs: DataFrame, order: Column) -> DataFrame:
@@ -282,6 +317,3 @@ def merged(covered: np.ndarray) -> list[tuple[int, int]]:
         else:
             out.append([lo, hi])
     return [tuple(x) for x in out]
-
-
-__all__ = ["Window", "repeated_windows", "with_lists", "numbered", "merged", "small_batches"]

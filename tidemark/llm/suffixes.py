@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches, table
-from tidemark.llm.repeats import Window, merged, mixed, numbered, repeated_windows, with_lists
+from tidemark.llm.repeats import Window, merged, mixed, numbered, repeated_windows, stretches, with_stretches
 
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -38,7 +38,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 32) -> DataFr
     """
     w = Window(length, min(gram, length), (16, 1))
     rows = numbered(docs, F.xxhash64("doc_id", "text"))
-    covered = table(repeated_windows(rows, byte_units, w, earlier=False), "repeats")
+    found = stretches(repeated_windows(rows, byte_units, w, earlier=False), by_first=False)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,5 +64,5 @@ def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 32) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     with small_batches(docs.sparkSession):
-        full = with_lists(rows, covered, ["lo", "hi"])
+        full = with_stretches(rows, found)
         return table(full.select("doc_id", "text", "covered").mapInArrow(cut, RESULT), "without-repeats")
