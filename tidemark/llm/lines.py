@@ -37,33 +37,36 @@ def codes() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), F.col("line")).alias("h2")]
 
 
-def segment_keys(line: Column, threshold: int) -> Column:
-    """An array of (code, indexed): the line's own segments, and the substrings by which it
-    finds lines up to ``threshold`` characters shorter.
-
-    For segment i of a line shorter by d, a substring that is shifted by s needs at least
-    ``|s|`` edits to its left and ``|s - d|`` to its right; the segment is the first unchanged
-    one, so there are at least i edits to the left.  That leaves |s| <= i and
-    |s - d| <= threshold - i.
+def with_segment_keys(lines: DataFrame, threshold: int) -> DataFrame:
+    """``lines`` (line) with one row per key: code, and whether it is an own segment.
+
+    A key is one of the line's own segments, or a substring by which it finds lines up to
+    ``threshold`` characters shorter.  For segment i of a line shorter by d, a substring that
+    is shifted by s needs at least ``|s|`` edits to its left and ``|s - d|`` to its right; the
+    segment is the first unchanged one, so there are at least i edits to the left.  That
+    leaves |s| <= i and |s - d| <= threshold - i.
     """
     parts = threshold + 1
-    size = F.length(line)
+    # lengths are computed once: in the keys they would be counted again for each
+    sizes = lines.select("line", F.length("line").alias("size"))
+    each = [F.expr(f"cast((size - {d}) div {parts} as int)").alias(f"base{d}") for d in range(parts)]
+    each += [F.expr(f"cast({parts} - (size - {d}) % {parts} as int)").alias(f"plain{d}") for d in range(parts)]
+    cut = sizes.select("line", "size", *each)
     rows = []
     for shorter in range(threshold + 1):
-        length = size - shorter
-        base = F.floor(length / parts).cast("int")
-        plain = parts - (length - base * parts)  # so many segments before the longer ones
+        base, plain = F.col(f"base{shorter}"), F.col(f"plain{shorter}")  # segments before the longer ones
         for i in range(parts):
-            width = base + F.when(F.lit(i) >= plain, 1).otherwise(0)
+            width = base + (F.lit(i) >= plain).cast("int")
             start = base * i + F.greatest(F.lit(0), F.lit(i) - plain)
             for shift in range(-i, i + 1):
                 if abs(shift - shorter) > threshold - i:
                     continue
                 at = start + shift
-                code = F.xxhash64(F.lit(i), length, F.substring(line, at + 1, width))
-                inside = (at >= 0) & (at + width <= size)
-                rows.append(F.when(inside, F.struct(code.alias("code"), F.lit(not shorter and not shift).alias("indexed"))))
-    return F.array_compact(F.array(*rows))
+                part = F.substring("line", at + 1, width)
+                # a substring that would leave the line is cut there, or moved: such keys only meet in vain
+                code = F.xxhash64(F.lit(i), F.col("size") - shorter, part)
+                rows.append(F.struct(code.alias("code"), F.lit(not shorter and not shift).alias("indexed")))
+    return cut.select("line", F.explode(F.array(*rows)).alias("key")).select("line", "key.*")
 
 
 def near_lines(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -75,7 +78,7 @@ def near_lines(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     condition of the join: what leaves the join are true pairs, however many lines share
     a segment, and a key with many lines is split like any other skewed join.
     """
-    keyed = lines.select("line", F.explode(segment_keys(F.col("line"), threshold)).alias("key")).select("line", "key.*")
+    keyed = with_segment_keys(lines, threshold)
     shared = (
         keyed.select("code", "indexed", F.xxhash64("line").alias("h"))
         .groupBy("code")
