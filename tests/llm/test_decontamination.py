@@ -65,3 +65,9 @@ def test_empty_tables_and_the_shuffled_join(spark):
     assert decontaminate(docs, none).where("contaminated").count() == 0
     assert decontaminate(docs.limit(0), none).count() == 0
     assert decontaminate(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string")).where("contaminated").count() == 3
+
+
+def test_a_periodic_item_is_read_at_its_own_place(spark):
+    item = " ".join(f"ask{i}" for i in range(20))
+    got = check(spark, [(1, "intro " + item + " outro"), (2, "intro ask1 outro")], [(7, item)])
+    assert got[1].contaminated and got[1].cover == 1.0 and not got[2].contaminated

@@ -16,6 +16,17 @@ def edits(a, b):
     return row[-1]
 
 
+def within(a, b, n):
+    """Whether n edits turn a into b: after the common start, each kind of edit is tried."""
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    if not a or not b or not n:
+        return len(a) + len(b) <= n
+    return within(a[1:], b[1:], n - 1) or within(a[1:], b, n - 1) or within(a, b[1:], n - 1)
+
+
 def changed(dice, line, n):
     for _ in range(n):
         i = dice.randrange(len(line) + 1)
@@ -39,6 +50,13 @@ def test_all_near_pairs_are_found(spark, threshold):
     assert got == {(a, b) for a in every for b in every if a != b and edits(a, b) <= threshold}
 
 
+def test_within_agrees_with_the_distance():
+    dice = random.Random(0)
+    for _ in range(500):
+        a, b = ("".join(dice.choice("ab") for _ in range(dice.randrange(7))) for _ in range(2))
+        assert all(within(a, b, n) == (edits(a, b) <= n) for n in range(4))
+
+
 def brute(rows, threshold, least):
     at = []
     for doc_id, text in rows:
@@ -50,7 +68,7 @@ def brute(rows, threshold, least):
         kept, lines = [], (text or "").split("\n")
         for n, line in enumerate(lines):
             here = (doc_id is None, doc_id or 0, n)
-            if len(line) < least or not any(p < here and abs(len(x) - len(line)) <= threshold and edits(x, line) <= threshold for p, x in at):
+            if len(line) < least or not any(p < here and within(x, line, threshold) for p, x in at):
                 kept.append(line)
         out.append((str(doc_id), "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out)

@@ -96,9 +96,10 @@ def held_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5)
     asked = benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id"))
     asked = table(asked.select(F.xxhash64("text").alias("item"), "item_id", "text"), "benchmark")
     met = table(find_items(docs, asked), "met")
+    pairs = table(met.groupBy("key").agg(F.collect_set(F.struct("item", "shift")).alias("met")), "met")
     sides = (
         docs.select(row_key().alias("key"), "text")
-        .join(met.groupBy("key").agg(F.collect_set(F.struct("item", "shift")).alias("met")), "key")
+        .join(sized(pairs), "key")
         .dropDuplicates(["key"])
         .select("key", raw_tokens(F.col("text")).alias("raw"), template_tokens(F.col("text")).alias("tokens"), F.explode("met").alias("m"))
         .select("key", "raw", "tokens", "m.*")
@@ -113,13 +114,15 @@ def held_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5)
     same = F.transform("item_tokens", lambda x, j: F.when(F.when(shift + j >= 0, F.get("tokens", shift + j)) == x, "1").otherwise("0"))
     size = F.size("item_tokens")
     laid = sides.withColumn("same", F.array_join(same, "")).withColumn("kept", covered("same", F.least(size, F.lit(RUN))))
+    # how much of the item a shift covers: in a periodic text several shifts cover the same places
+    length = F.length(F.replace("kept", F.lit("0"), F.lit("")))
     places = laid.select(
-        "key", "item", "shift", "raw", "item_raw", "item_tokens", size.alias("size"), F.posexplode(F.split("kept", "")).alias("j", "one")
+        "key", "item", "shift", F.struct((-length).alias("less"), "shift").alias("order"), "raw", "item_raw", "item_tokens", size.alias("size"), F.posexplode(F.split("kept", "")).alias("j", "one")
     ).where("one = '1'")
     slot = F.get("item_tokens", F.col("j")).isin(NUMBER, NAME, UNIT)
     here = F.struct(F.get("item_raw", F.col("j")).alias("a"), F.get("raw", F.col("shift") + F.col("j")).alias("b"))
-    # a place that several shifts cover is read at the smallest
-    one = places.groupBy("key", "item", "size", "j").agg(F.min_by(F.when(slot, here), "shift").alias("slot"))
+    # a place that several shifts cover is read at that which covers most, then the smallest
+    one = places.groupBy("key", "item", "size", "j").agg(F.min_by(F.when(slot, here), "order").alias("slot"))
     judged = one.groupBy("key", "item", "size").agg(
         F.count("*").alias("n"),
         F.count_distinct("slot").alias("pairs"),
