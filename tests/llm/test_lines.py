@@ -89,3 +89,11 @@ def test_documents_equal_brute_force(spark, threshold):
 
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_short_lines_go_if_they_are_equal(spark):
+    long = "a line of more than twenty characters"
+    rows = [(1, f"Les.\n\n}}\n{long}"), (2, f"Les.\n\n}}\nLet.\n{long}s"), (3, f"\nLes.\nLet.\n{long}!?"), (4, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.kept_text for r in dedup_lines(frame, 2, exact_chars=1).collect()}
+    assert got == {1: rows[0][1], 2: "\nLet.", 3: "", 4: ""}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_key, sized, table
 
-LEAST_CHARS = 20  # shorter lines are layout rather than content: never compared, always kept
+LEAST_CHARS = 20  # shorter lines are never compared by edits
 THRESHOLD = 1
 
 
@@ -96,19 +96,23 @@ def near_lines(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return pairs.union(pairs.select("b", "a")).distinct()
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, exact_chars: int | None = None
+) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) with ``kept_text``, ``n_lines`` and ``n_removed``.
 
     A line of at least ``least_chars`` characters goes if an equal line, or one within
     ``threshold`` edits, stands earlier: in a smaller doc_id or above it in the same text.
-    Lines are judged on the input, not on what is left; shorter lines stay.  Null
+    Shorter lines of at least ``exact_chars`` characters go if an equal line stands earlier;
+    those below it stay, and all shorter ones if it isn't given.
+    Lines are judged on the input, not on what is left.  Null
     doc_ids come last; rows with equal doc_id and line number are equally early, so repeated
     rows don't empty each other.  A null text is one empty line.  Lines end at
     line feeds.
     """
-    lines = lines_of(docs, least_chars)
+    lines = lines_of(docs, least_chars if exact_chars is None else min(exact_chars, least_chars))
     firsts = table(lines.groupBy(*codes()).agg(F.min(place()).alias("first"), F.count("*").alias("n")), "lines")
-    near = table(near_lines(lines, threshold), "near-lines")
+    near = table(near_lines(lines.where(F.length("line") >= least_chars), threshold), "near-lines")
     mine, other = ([F.xxhash64(x).alias("h1"), F.xxhash64(F.lit("second"), F.col(x)).alias("h2")] for x in ("a", "b"))
     around = (
         near.select(F.struct(*mine).alias("a"), *other)
