@@ -1,7 +1,7 @@
 import random
 import zlib
 
-from tidemark.llm.toxicity import learn, score_toxicity, segments, toxic_documents
+from tidemark.llm.toxicity import Settings, learn, score_toxicity, segments, toxic_documents, word_scores
 
 INSULTS = ["foo", "bar", "baz"]
 
@@ -91,3 +91,21 @@ def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxic_documents(docs, none).collect()] == [0.0, 0.0]
     assert score_toxicity(docs.limit(0), learn(docs, none)).count() == 0
+
+
+def test_a_rare_significant_word_is_learned_from_a_large_corpus(spark):
+    rows = [(f"plain{i % 7} rude{i % 5}" + (" rarefoul" if i % 500 == 0 else ""), 1) for i in range(4000)]
+    rows += [(f"plain{i % 7} nice{i % 5}" + (" kindword" if i % 100 == 0 else ""), 0) for i in range(36000)]
+    scores = word_scores(spark.createDataFrame(rows, "text string, is_toxic int"), Settings())
+    assert scores[b"rarefoul"] > 0  # in 8 of 4,000 toxic texts ...
+    assert scores[b"nice1"] < 0  # ... and only in clean ones
+    assert b"plain3" not in scores
+
+
+def test_a_large_dictionary_is_joined_with_the_same_result(spark):
+    rows, labels = corpus(400)
+    extra = [(5000, None, ""), (5001, "", ""), (None, "foo bar baz, \u00e9 foo", ""), rows[0], rows[0]]
+    docs = spark.createDataFrame(rows + extra, "doc_id long, text string, score string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    a, b = (sorted(map(str, toxic_documents(docs, known, Settings(dictionary=n)).collect())) for n in (200_000, 0))
+    assert a == b and len(a) == len(rows) + 5

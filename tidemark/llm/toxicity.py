@@ -29,16 +29,16 @@ CALIBRATION = 3  # learned from last: calibrates a model of the other remainders
 class Settings(NamedTuple):
     prior: float = 0.1  # strength of the Dirichlet prior, as a share of all counts
     least_z: float = 3.3  # log-odds below this many standard errors count as none
-    least_share: float = 0.002  # of toxic texts that must have a word ...
-    least_texts: int = 3  # ... and their least number
+    least_texts: int = 3  # of one kind that must have a word
     drift: float = -0.05  # score of a word without significant log-odds
     significant: float = 0.01  # largest chance in clean text of a reported passage
+    dictionary: int = 200_000  # words that go to the tasks at most; more are joined from a table
     sample: int = 200_000  # labelled texts that the logistic curve is fitted on, at most
     threshold: float = 0.3
 
 
 class Model(NamedTuple):
-    scores: dict[bytes, float]
+    scores: dict[bytes, float] | DataFrame  # a stored table (word, delta) beyond ``dictionary`` words
     drift: float
     rate: float = 1.0  # the extreme-value distribution's lambda ...
     log_k: float = 0.0  # ... and ln K
@@ -69,18 +69,20 @@ def labelled(docs: DataFrame, labels: DataFrame, broadcast_rows: int = 1_000_000
     return table(docs.select("doc_id", "text").join(sized(one), "doc_id").drop("doc_id"), "labelled")
 
 
-def word_scores(rows: DataFrame, s: Settings) -> dict[bytes, float]:
+_NOT_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def word_scores(rows: DataFrame, s: Settings) -> dict[bytes, float] | DataFrame:
     """Significant log-odds of words, from all of ``rows`` (text, is_toxic).
 
-    The prior of a word is its share of all counts.
-    A word must stand in a share of the toxic texts, so their number is at most the mean
-    number of different words in a toxic text divided by ``least_share``: the
-    dictionary that goes to the tasks doesn't grow with the corpus.
+    The prior of a word is its share of all counts.  A word must stand in ``least_texts``
+    toxic or as many clean texts, however large the corpus is.  Up to ``dictionary``
+    words are a dictionary; more stay a table.
     """
     n = {r[0]: r[1] for r in rows.groupBy("is_toxic").count().collect()}
     if not n.get(0) or not n.get(1):
         return {}
-    words = F.split(lower_ascii(F.coalesce("text", F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = F.split(lower_ascii(F.coalesce("text", F.lit(""))), _NOT_WORDS)
     counts = (
         rows.select("is_toxic", F.explode(F.array_distinct(words)).alias("word"))
         .where("word != ''")
@@ -96,12 +98,15 @@ def word_scores(rows: DataFrame, s: Settings) -> dict[bytes, float]:
         return F.log((y + prior) / (F.lit(everything + strength) - y - prior))
 
     kept = (
-        counts.where(F.col("toxic") >= max(s.least_texts, s.least_share * n[1]))
+        counts.where(F.greatest("toxic", "clean") >= s.least_texts)
         .withColumn("delta", log_odds(F.col("toxic"), all_toxic) - log_odds(F.col("clean"), all_clean))
         .withColumn("z", F.col("delta") / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)))
         .where(F.abs("z") >= s.least_z)
     )
-    return {r["word"].encode(): r["delta"] for r in kept.select("word", "delta").collect()}
+    kept = table(kept.select("word", "delta"), "word-scores")
+    if kept.count() > s.dictionary:
+        return kept
+    return {r["word"].encode(): r["delta"] for r in kept.collect()}
 
 
 def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[float, int, int]]:
@@ -134,13 +139,13 @@ def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[float, i
     return [(high - low, start, end) for low, high, start, end, _ in found]
 
 
-def features(text: str | None, model: Model, s: Settings) -> tuple:
-    """(words, best score, significance, passages, share, start, end) of a text."""
-    words = words_of(text)
-    scores = model.scores
-    hits = [(i, scores[w]) for i, w in enumerate(words) if w in scores]
+def hits_of(words: list[bytes], scores: dict[bytes, float]) -> list[tuple[int, float]]:
+    return [(i, scores[w]) for i, w in enumerate(words) if w in scores]
+
+
+def features(n: int, hits: list[tuple[int, float]], model: Model, s: Settings) -> tuple:
+    """(words, best score, significance, passages, share, start, end) of a text of ``n`` words."""
     found = segments(hits, model.drift) if hits else []
-    n = len(words)
     best, start, end = max(found, key=lambda x: (x[0], -x[1]), default=(0.0, None, None))
     offset = model.log_k + math.log(max(n, 1))
     level = -math.log(-math.log1p(-s.significant))  # of the extreme-value distribution
@@ -152,20 +157,45 @@ def features(text: str | None, model: Model, s: Settings) -> tuple:
 FEATURES = "n_words long, best double, significance double, passages long, share double, first_word long, last_word long"
 
 
+def _joined_hits(rows: DataFrame, scores: DataFrame) -> DataFrame:
+    """``rows`` with ``__hits``: places and scores of the words that have one, joined by a shuffle.
+
+    Only words and places travel; Spark may split a word that is in many texts.
+    """
+    code = F.struct(F.xxhash64("text").alias("a"), F.sha1("text").alias("b"))
+    words = F.filter(F.split(lower_ascii(F.coalesce("text", F.lit(""))), _NOT_WORDS), lambda w: w != "")
+    placed = rows.where("text is not null").select(code.alias("code"), F.posexplode(words).alias("place", "word"))
+    # a set: equal texts have equal hits
+    hits = placed.join(scores, "word").groupBy("code").agg(F.sort_array(F.collect_set(F.struct("place", "delta"))).alias("__hits"))
+    hits = table(hits, "hits")
+    return rows.withColumn("__code", code).join(hits.withColumnRenamed("code", "__code"), "__code", "left").drop("__code")
+
+
 def _with_features(rows: DataFrame, kept: list[str], model: Model, s: Settings) -> DataFrame:
     names = [x.split()[0] for x in FEATURES.split(", ")]
     kinds = [pa.float64() if "double" in x else pa.int64() for x in FEATURES.split(", ")]
     schema = ", ".join([*(f"{k} {dict(rows.dtypes)[k]}" for k in kept), FEATURES])
+    joined = not isinstance(model.scores, dict)
+    if joined:
+        rows = _joined_hits(rows.select(*kept, "text"), model.scores)
+        model = model._replace(scores={})  # a table can't travel to the tasks
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(x.as_py(), model, s) for x in batch["text"]]
+            found = []
+            for i, text in enumerate(batch["text"]):
+                words = words_of(text.as_py())
+                if joined:
+                    hits = [(x["place"], x["delta"]) for x in batch["__hits"][i].as_py() or []]
+                else:
+                    hits = hits_of(words, model.scores)
+                found.append(features(len(words), hits, model, s))
             columns = list(zip(*found)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [*(batch[k] for k in kept), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[*kept, *names]
             )
 
-    return rows.select(*kept, "text").mapInArrow(scan, schema)
+    return rows.select(*kept, "text", *(["__hits"] if joined else [])).mapInArrow(scan, schema)
 
 
 def _inputs(significance, passages, share, best) -> np.ndarray:
@@ -215,7 +245,7 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     with small_batches(docs.sparkSession):
         part = Model(word_scores(rows.where(F.col("fold") != CALIBRATION), s), s.drift)
         full = Model(word_scores(rows, s), s.drift)
-        if not full.scores:
+        if isinstance(full.scores, dict) and not full.scores:
             return full
         part = _with_extremes(part, rows, s)
         held = _with_features(rows.where(F.col("fold") == CALIBRATION), ["is_toxic"], part, s)
@@ -236,7 +266,8 @@ def score_toxicity(docs: DataFrame, model: Model, s: Settings = Settings()) -> D
 
     Only the text is looked at.  Null and empty texts have no words and get the score of a
     text without passages.  ``first_word`` and ``last_word`` (exclusive) bound the best
-    passage, null if there is none.  One pass, no shuffle.
+    passage, null if there is none.  One pass without shuffle, unless the words are so many that
+    their scores are a table.
     """
     curve = np.array(model.curve)
     base = _with_features(docs, ["doc_id"], model, s)
