@@ -71,3 +71,14 @@ def test_a_periodic_item_is_read_at_its_own_place(spark):
     item = " ".join(f"ask{i}" for i in range(20))
     got = check(spark, [(1, "intro " + item + " outro"), (2, "intro ask1 outro")], [(7, item)])
     assert got[1].contaminated and got[1].cover == 1.0 and not got[2].contaminated
+
+
+def test_names_at_sentence_starts_and_coinciding_numbers(spark):
+    item = "Anna has 12 pears. Anna buys 3 more. Anna eats 5. How many pears are left?"
+    ben = item.replace("Anna", "Ben")
+    docs = [
+        (1, ben), (2, "pad " + ben.replace("12", "4").replace("3", "4")), (3, ITEM.lower()), (4, item.replace("Anna buys", "Carl buys").replace("Anna eats", "Dora eats")),
+        (5, ITEM.replace("9", "120")), (6, "WHO HAS PEARS AND WHO BUYS MORE OF THEM IS NOT KNOWN HERE AT ALL"),
+    ]
+    got = check(spark, docs, [(1, item), (2, ITEM)])
+    assert {i: r.item_id for i, r in got.items() if r.contaminated} == {1: 1, 2: 1, 3: 2, 5: 2}

@@ -3,7 +3,8 @@
 Texts become templates: numbers, names and units turn into typed placeholders.
 Windows of template tokens are hash-joined with those of the benchmark; for the few
 pairs that meet, the templates are laid over each other, runs of equal tokens cover the
-item, and what stands in the placeholders must map one to one.  Built-in functions only.
+item, and each name must map to one name.  A name that starts a sentence looks like any other
+word there; single places that differ in such a word don't end a run.  Built-in functions only.
 """
 
 from __future__ import annotations
@@ -39,11 +40,17 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(cleaned(text), F.lit(f"{_NUMERAL}|{_WORD}"), F.lit(0))
 
 
-def template_tokens(text: Column) -> Column:
-    """Lower-case words, with placeholders for numbers, units after numbers, and words with a
-    capital that don't start a sentence (after a lower-case letter or a comma and a space)."""
+#: Which words are names: those with a capital that don't start a sentence (after a lower-case
+#: letter or a comma and a space), all with a capital, none.
+MIDDLE, ALL, NONE = rf"(?<=[\p{{Ll}},;] )\p{{Lu}}[\p{{L}}\p{{M}}]*", rf"(?<![\p{{L}}\p{{M}}])\p{{Lu}}[\p{{L}}\p{{M}}]*", None
+
+
+def template_tokens(text: Column, names: str | None = MIDDLE) -> Column:
+    """Lower-case words, with placeholders for numbers, units after numbers, and ``names``."""
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    text = F.regexp_replace(cleaned(text), rf"(?<=[\p{{Ll}},;] )\p{{Lu}}[\p{{L}}\p{{M}}]*", NAME)
+    text = cleaned(text)
+    if names:
+        text = F.regexp_replace(text, names, NAME)
     text = F.regexp_replace(text, rf"(?<=[0-9])( ?)(?:{units})(?![\p{{L}}\p{{M}}])", "$1" + UNIT)
     text = F.lower(F.regexp_replace(text, _NUMERAL, NUMBER))
     return F.regexp_extract_all(text, F.lit(f"[{NUMBER}{NAME}{UNIT}]|{_WORD}"), F.lit(0))
@@ -64,22 +71,33 @@ def find_items(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_00
 
     ``key`` stands for a row of ``docs``, ``item`` for a benchmark text; ``shift`` is the place in the
     document of the item's first token.  Every run of eight tokens in common is met by a
-    window of five at a multiple of four.  Items of fewer tokens are windows of their own
+    window of five at a multiple of four, in one of three forms: with names in the middle of
+    sentences, with all capitalised words as names, and without names (for copies in
+    lower case).  Items of fewer tokens are windows of their own
     length, looked for at every place.  The benchmark's windows are broadcast only if
     there are no more than ``broadcast_rows`` of 24 bytes; else the join is a shuffle.
     """
-    items = benchmark.select("item", template_tokens(F.col("text")).alias("tokens"))
-    short = [r[0] for r in items.where((F.size("tokens") < RUN) & (F.size("tokens") > 0)).select(F.size("tokens")).distinct().collect()]
-    texts = docs.select(row_key().alias("key"), template_tokens(F.col("text")).alias("tokens"))
     found = []
-    for size, stride in [(0, STRIDE), *((n, 1) for n in sorted(short))]:
-        mine = items.where(F.size("tokens") >= RUN) if not size else items.where(F.size("tokens") == size)
-        asked = windows(mine, "tokens", size or WINDOW, 1).withColumnRenamed("at", "item_at")
-        asked = asked.select("item", "item_at", "code")
-        if asked.count() <= broadcast_rows:
-            asked = F.broadcast(asked)
-        met = windows(texts, "tokens", size or WINDOW, stride).join(asked, "code")
-        found.append(met.select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")))
+    short = None
+    for names in (MIDDLE, ALL, NONE):
+        items = benchmark.select("item", template_tokens(F.col("text"), names).alias("tokens"))
+        if short is None:  # all forms have the same number of tokens
+            sizes = items.where((F.size("tokens") < RUN) & (F.size("tokens") > 0)).select(F.size("tokens"))
+            short = sorted(r[0] for r in sizes.distinct().collect())
+        texts = docs.select(row_key().alias("key"), template_tokens(F.col("text"), names).alias("tokens"))
+        for size, stride in [(0, STRIDE), *((n, 1) for n in short if names != ALL)]:
+            mine = items.where(F.size("tokens") >= RUN) if not size else items.where(F.size("tokens") == size)
+            if names == ALL:  # windows of names alone would meet all texts in capitals
+                worded = F.transform("tokens", lambda x, j: F.size(F.filter(F.slice(F.col("tokens"), j + 1, F.lit(WINDOW)), lambda y: y != NAME)) >= 2)
+                mine = mine.withColumn("worded", worded)
+            asked = windows(mine, "tokens", size or WINDOW, 1).withColumnRenamed("at", "item_at")
+            if names == ALL:
+                asked = asked.where(F.get("worded", F.col("item_at")))
+            asked = asked.select("item", "item_at", "code")
+            if asked.count() <= broadcast_rows:
+                asked = F.broadcast(asked)
+            met = windows(texts, "tokens", size or WINDOW, stride).join(asked, "code")
+            found.append(met.select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")))
     return reduce(DataFrame.union, found).distinct()
 
 
@@ -111,26 +129,43 @@ def held_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5)
         )
     )
     shift = F.col("shift")
-    same = F.transform("item_tokens", lambda x, j: F.when(F.when(shift + j >= 0, F.get("tokens", shift + j)) == x, "1").otherwise("0"))
     size = F.size("item_tokens")
-    laid = sides.withColumn("same", F.array_join(same, "")).withColumn("kept", covered("same", F.least(size, F.lit(RUN))))
+
+    def compared(x: Column, j: Column) -> Column:
+        y, mine, there = F.get("tokens", shift + j), F.get("raw", shift + j), F.get("item_raw", j)
+        equal = (x == y) | (F.lower(mine) == F.lower(there))
+        capital = mine.rlike(r"^\p{Lu}") | there.rlike(r"^\p{Lu}")
+        words = ~x.isin(NUMBER, UNIT) & ~y.isin(NUMBER, UNIT)
+        return F.when(shift + j < 0, "0").when(equal, "1").when(capital & words, "~").otherwise("0")
+
+    same = F.array_join(F.transform("item_tokens", compared), "")
+    laid = sides.withColumn("same", F.replace(same, F.lit("~"), F.lit("0")))
+    # one place between equal ones that differs in a capitalised word doesn't end a run
+    bridged = F.replace(F.regexp_replace(same, "(?<![~0])~(?![~0])", "1"), F.lit("~"), F.lit("0"))
+    laid = laid.withColumn("bridged", F.when(size >= RUN, bridged).otherwise(F.col("same")))
+    run = F.least(size, F.lit(RUN))
+    laid = laid.withColumn("plain_kept", covered("same", run)).withColumn("bridged_kept", covered("bridged", run))
+    # read without bridges and with them
+    plain = F.struct(F.lit(False).alias("bridges"), F.col("plain_kept").alias("kept"))
+    other = F.struct(F.lit(True).alias("bridges"), F.col("bridged_kept").alias("kept"))
+    laid = laid.withColumn("read", F.explode(F.array(plain, other)))
+    laid = laid.withColumn("bridges", F.col("read.bridges")).withColumn("kept", F.col("read.kept"))
     # how much of the item a shift covers: in a periodic text several shifts cover the same places
     length = F.length(F.replace("kept", F.lit("0"), F.lit("")))
     places = laid.select(
-        "key", "item", "shift", F.struct((-length).alias("less"), "shift").alias("order"), "raw", "item_raw", "item_tokens", size.alias("size"), F.posexplode(F.split("kept", "")).alias("j", "one")
+        "key", "item", "bridges", "shift", F.struct((-length).alias("less"), "shift").alias("order"), "raw", "item_raw", "item_tokens", size.alias("size"), F.posexplode(F.split("kept", "")).alias("j", "one")
     ).where("one = '1'")
-    slot = F.get("item_tokens", F.col("j")).isin(NUMBER, NAME, UNIT)
-    here = F.struct(F.get("item_raw", F.col("j")).alias("a"), F.get("raw", F.col("shift") + F.col("j")).alias("b"))
+    there, mine = F.get("item_raw", F.col("j")), F.get("raw", F.col("shift") + F.col("j"))
+    name = (F.get("item_tokens", F.col("j")) == NAME) | (F.col("bridges") & (there.rlike(r"^\p{Lu}") | mine.rlike(r"^\p{Lu}")))
+    here = F.struct(F.lower(there).alias("a"), F.lower(mine).alias("b"))
     # a place that several shifts cover is read at that which covers most, then the smallest
-    one = places.groupBy("key", "item", "size", "j").agg(F.min_by(F.when(slot, here), "order").alias("slot"))
-    judged = one.groupBy("key", "item", "size").agg(
-        F.count("*").alias("n"),
-        F.count_distinct("slot").alias("pairs"),
-        F.count_distinct("slot.a").alias("there"),
-        F.count_distinct("slot.b").alias("here"),
+    one = places.groupBy("key", "item", "bridges", "size", "j").agg(F.min_by(F.when(name, here), "order").alias("slot"))
+    judged = one.groupBy("key", "item", "bridges", "size").agg(
+        F.count("*").alias("n"), F.count_distinct("slot").alias("pairs"), F.count_distinct("slot.a").alias("names")
     )
-    held = judged.where((F.col("n") >= least_cover * F.col("size")) & (F.col("pairs") == F.col("there")) & (F.col("pairs") == F.col("here")))
-    held = held.withColumn("cover", F.col("n") / F.col("size")).join(asked.select("item", "item_id"), "item")
+    held = judged.where((F.col("n") >= least_cover * F.col("size")) & (F.col("pairs") == F.col("names")))
+    held = held.groupBy("key", "item").agg(F.max(F.col("n") / F.col("size")).alias("cover"))
+    held = held.join(asked.select("item", "item_id"), "item")
     best = F.max(F.struct("cover", (-F.col("item_id")).alias("order"), "item_id")).alias("best")
     return table(held.groupBy("key").agg(best, F.count("*").alias("n_items")), "held")
 
@@ -139,7 +174,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.
     """For each row of ``docs`` (doc_id, text): whether it holds an item of ``benchmark`` (item_id, text).
 
     It does if runs of at least eight template tokens (all tokens of a shorter item) cover
-    ``least_cover`` of an item and what stands in its placeholders maps one to one.  ``item_id`` is
+    ``least_cover`` of an item and each of its names maps to one; numbers and units may be any.
+    It is read twice, also so that single capitalised words that differ don't end a run; then they
+    are names as well.  ``item_id`` is
     the item with the largest cover, then the smallest id; ``n_items`` counts all that are
     held.  Equal benchmark texts are one item under their smallest id.  Texts without
     tokens, nulls included, hold nothing and are held by nothing; repeated rows
