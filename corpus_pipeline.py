@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, lines, packing, similar, toxicity
+from tidemark.llm import decontamination, lines, packing, simhash, toxicity
 from tidemark.llm.common import documents, row_key, sized, table
 from tidemark.llm.queries import tokenizer_path
 
@@ -46,20 +46,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one row stays: that with the smallest id, nulls last.
+    """Of each group of near duplicates one row stays: that with the smallest id, nulls last.
 
-    Texts whose shingles of five words have a similarity of 0.8 or more are linked; op1's contract
-    (three words, two bits) binds op1 only.
+    Groups are those of the SimHash operator: shingles of three words, links at two bits or
+    fewer.  Rows are judged by id and text, so one of several texts under one id can go
+    without the others.  Rows that are equal in both share a key, and one of them stays.
     """
-    found = similar.near_copies(docs.select(row_key().alias("key"), "doc_id", "text"))
+    found = simhash.near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("key"), "component_id").dropDuplicates(["key"])
+    rows = docs.groupBy(row_key().alias("key")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    members = table(rows.join(groups, "key"), "members")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
-    firsts = found.groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    firsts = table(firsts.select("component", F.col("first.key").alias("first")), "firsts")
-    grouped = table(found.join(sized(firsts), "component").select("key", "first"), "near")
-    rejected = table(grouped.where("key != first").select("key").distinct(), "near-duplicates")
-    kept = without(docs, rejected, row_key())
-    # rows that are equal in id and text share a key
-    repeated = table(grouped.where("key = first").groupBy("key").count().where("count > 1").select("key"), "repeated")
+    firsts = members.groupBy("component_id").agg(F.min(place)["key"].alias("first"), F.count("*").alias("n"))
+    firsts = table(firsts.where("n > 1").select("component_id", "first"), "firsts")
+    rejected = members.join(sized(firsts), "component_id").where("key != first").select("key")
+    kept = without(docs, table(rejected, "near-duplicates"), row_key())
+    repeated = table(members.where("copies > 1").select("key"), "repeated")
     again = kept.join(sized(repeated.select(F.col("key").alias("__again"))), row_key() == F.col("__again"), "left_semi")
     one = again.withColumn("__key", row_key()).dropDuplicates(["__key"]).drop("__key")
     return without(kept, repeated, row_key()).union(one)
