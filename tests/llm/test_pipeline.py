@@ -3,10 +3,29 @@ import random
 import corpus_pipeline as P
 
 from tidemark.llm.common import table
-from test_lines import brute as brute_lines
+from test_lines import within
 from test_simhash import plain_components, plain_fingerprint
 
 
+def staged_lines(rows):
+    """(id, text) after the line stage: exact copies of any line, two edits from 20 characters on."""
+    every = [((i is None, i or 0, n), x) for i, t in rows for n, x in enumerate((t or "").split("\n"))]
+    first = {}
+    for at, x in every:
+        first[x] = min(first.get(x, at), at)
+
+    def near(x, y):
+        return x == y or (min(len(x), len(y)) >= 20 and abs(len(x) - len(y)) <= 2 and within(x, y, 2))
+
+    earliest = {x: min(first[y] for y in first if near(x, y)) for x in first}
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        left = [x for n, x in enumerate(lines) if not x or earliest[x] >= (i is None, i or 0, n)]
+        out.append((str(i), "\n".join(left)))
+    return out
+
+
 def tables(spark, folder):
     dice = random.Random(11)
     vocabulary = [f"word{i}" for i in range(400)]
@@ -42,7 +61,7 @@ def test_stages_equal_brute_force(spark, folder):
     lined = table(P.line_stage(spark, clean, folder), "lined")
     assert lined.columns == columns
     rows = lined.collect()
-    assert sorted((str(r.doc_id), r.text) for r in rows) == sorted(x[:2] for x in brute_lines(left, 1, 20))
+    assert sorted((str(r.doc_id), r.text) for r in rows) == sorted(staged_lines(left))
     assert all(r.n_chars == len(r.text) for r in rows)
 
     single = table(P.near_duplicate_stage(spark, lined, folder), "single")
@@ -74,3 +93,17 @@ def test_line_stage_compares_short_lines_and_two_edits(spark, folder):
     frame = spark.createDataFrame([(1, f"Les.\n{long}"), (2, f"Les.\nLet.\n{long}!?")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in P.line_stage(spark, frame, folder).collect()}
     assert got == {1: f"Les.\n{long}", 2: "Let."}
+
+
+def test_near_duplicate_stage_decides_by_row(spark):
+    dice = random.Random(3)
+    def prose(n):
+        return " ".join(f"w{dice.randrange(500)}" for _ in range(n))
+    a, b, c = prose(400), prose(50), prose(60)
+    near = a.rsplit(" ", 1)[0] + " other"  # one shingle of about 400: at most two bits, or the test's texts are chosen anew
+    assert 0 < bin(plain_fingerprint(a) ^ plain_fingerprint(near)).count("1") <= 2
+    rows = [(5, a), (3, near), (3, b), (None, a), (None, b), (9, c), (9, c), (9, c), (None, None), (2, ""), (None, c)]
+    frame = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, key int, component_id string")
+    kept = P.near_duplicate_stage(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(3, near), (3, b), (9, c), (2, "")])
