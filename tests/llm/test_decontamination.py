@@ -1,4 +1,7 @@
-from tidemark.llm.decontamination import decontaminate, raw_tokens, template_tokens
+import random
+
+import regex
+from tidemark.llm.decontamination import UNITS, decontaminate, raw_tokens, template_tokens
 from pyspark.sql import functions as F
 
 ITEM = "If the train from Berlin leaves at 9 and runs 120 km to see Hamburg then when does Anna meet the train from Berlin"
@@ -82,3 +85,124 @@ def test_names_at_sentence_starts_and_coinciding_numbers(spark):
     ]
     got = check(spark, docs, [(1, item), (2, ITEM)])
     assert {i: r.item_id for i, r in got.items() if r.contaminated} == {1: 1, 2: 1, 3: 2, 5: 2}
+
+
+def parse(text):
+    """(lower-case word, kind) of each token, read with a pattern of its own."""
+    out, last_number = [], False
+    for m in regex.finditer(r"[0-9]+(?:[.,][0-9]+)*|\p{L}[\p{L}\p{M}]*", text or ""):
+        word, before = m.group(), text[max(0, m.start() - 2) : m.start()]
+        if word[0].isdigit():
+            kind = "number"
+        elif regex.match(r"\p{Lu}", word) and regex.fullmatch(r"[\p{Ll},;] ", before):
+            kind = "name"
+        elif last_number and word in UNITS:
+            kind = "unit"
+        else:
+            kind = "capital" if word[0].isupper() else "word"
+        last_number = kind == "number"
+        out.append((word.lower(), kind))
+    return out
+
+
+def long_runs(text, least):
+    kept = list("0" * len(text))
+    for m in regex.finditer("1+", text):
+        if len(m.group()) >= least:
+            kept[m.start() : m.end()] = m.group()
+    return "".join(kept)
+
+
+def brute(docs, items, least_cover=0.5):
+    """Every item laid over every document at every shift."""
+    asked = {}
+    for item_id, text in items:
+        if text is not None:
+            asked[text] = min(asked.get(text, item_id), item_id)
+    out = {}
+    for doc_id, text in docs:
+        doc, held = parse(text), []
+        for item_text, item_id in asked.items():
+            item = parse(item_text)
+            best = 0
+            for bridges in (False, True):
+                chosen = {}
+                for shift in range(1 - len(item), len(doc)):
+                    marks = ""
+                    for j, (word, kind) in enumerate(item):
+                        if not 0 <= shift + j < len(doc):
+                            marks += "0"
+                            continue
+                        other, its = doc[shift + j]
+                        alike = word == other or (kind == its and kind in ("name", "number", "unit"))
+                        plain = not {kind, its} & {"number", "unit"}
+                        marks += "1" if alike else "~" if plain and {kind, its} & {"name", "capital"} else "0"
+                    if bridges and len(item) >= 8:
+                        marks = regex.sub("(?<![~0])~(?![~0])", "1", marks)
+                    kept = long_runs(marks.replace("~", "0"), min(8, len(item)))
+                    for j in range(len(item)):
+                        if kept[j] == "1":
+                            order = (-kept.count("1"), shift)
+                            chosen[j] = min(chosen.get(j, (order,)), (order,))
+                pairs = set()
+                for j, ((_, shift),) in chosen.items():
+                    (word, kind), (other, its) = item[j], doc[shift + j]
+                    if kind == "name" or (bridges and {kind, its} & {"name", "capital"}):
+                        pairs.add((word, other))
+                if item and len(chosen) >= least_cover * len(item) and len({a for a, _ in pairs}) == len(pairs):
+                    best = max(best, len(chosen) / len(item))
+            if best:
+                held.append((best, -item_id))
+        out[doc_id] = (bool(held), -max(held)[1] if held else None, max(held)[0] if held else 0.0, len(held))
+    return out
+
+
+def test_equals_brute_force(spark):
+    dice = random.Random(12)
+    words = "how many pears are left when she sells some of them to her friend at noon and then buys more from a shop".split()
+    names, more = ["Anna", "Ben", "Carla", "Dov"], ["12", "3.5", "120 km", "7 kg", "40 m"]
+
+    def sentence(n):
+        parts = []
+        for _ in range(n):
+            r = dice.random()
+            parts.append(dice.choice(names) if r < 0.15 else dice.choice(more) if r < 0.25 else dice.choice(words))
+            parts[-1] += dice.choice(["", "", "", "", ",", ".", ";"]) if r > 0.9 else ""
+        return " ".join(parts)
+
+    def altered(text):
+        swap = dict(zip(names, dice.sample(names + ["Eve", "Ömer"], len(names))))
+        out = []
+        for part in text.split(" "):
+            part = swap.get(part, part)
+            if dice.random() < 0.3 and part[0].isdigit():
+                part = dice.choice(["5", "99"])
+            if dice.random() < 0.04:
+                part = dice.choice(words + names)
+            out.append(part)
+        text = " ".join(out)
+        return dice.choice([text, text, text, text.lower(), text.capitalize()])
+
+    items = [(i, sentence(dice.randrange(8, 30))) for i in range(12)]
+    items += [(20 + n, " ".join(dice.sample(words, n))) for n in (1, 2, 3, 5, 7)] + [(40, items[0][1]), (41, ""), (42, None), (43, items[1][1] + " " + items[1][1])]
+    docs = [(0, None), (1, ""), (2, "?!"), (3, items[3][1]), (4, " ".join(t for _, t in items if t)), (5, items[2][1].upper())]
+    for i in range(6, 120):
+        copy = altered(dice.choice(items[:12])[1]).split(" ")
+        cut = dice.randrange(len(copy)) if dice.random() < 0.4 else len(copy)
+        docs.append((i, " ".join([sentence(dice.randrange(1, 9)), *copy[:cut], sentence(dice.randrange(1, 20))])))
+    want = brute(docs, items)
+    assert 20 < sum(x[0] for x in want.values()) < 110
+    got = check(spark, docs, items)
+    assert {i: (r.contaminated, r.item_id, round(r.cover, 9), r.n_items) for i, r in got.items()} == {
+        i: (*x[:2], round(x[2], 9), x[3]) for i, x in want.items()
+    }
+
+
+def test_ties_clashing_names_and_a_long_text_in_every_form(spark):
+    plain = "where would the old ferry to the island stop when it rains on a market day"
+    items = spark.createDataFrame([(7, plain, "a", 1), (3, plain, "b", 2), (9, plain + " again", "c", 3)], "item_id long, text string, key string, item int")
+    for form in (plain, plain.upper(), plain.title(), plain.capitalize()):
+        text = "pad " * 60000 + form + " end" * 60000
+        docs = spark.createDataFrame([(1, text, 2, "x", 3, 0.5)], "doc_id long, text string, item int, code string, at int, cover double")
+        (row,) = decontaminate(docs, items).collect()
+        assert row.contaminated and (row.item_id, row.cover, row.n_items) == (3, 1.0, 2), form[:30]

@@ -9,6 +9,7 @@ word there; single places that differ in such a word don't end a run.  Built-in
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_key, sized, table
 
-#: Placeholders: private-use characters, which texts lose first.
+#: Placeholders in templates: private-use characters, which no word has.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 #: Units that may follow a number.
 UNITS = (
@@ -25,88 +26,151 @@ UNITS = (
     "cent cents percent meter meters metre metres kilometer kilometers mile miles gram grams liter liters"
 ).split()
 
-_WORD = r"\p{L}[\p{L}\p{M}]*"
-_NUMERAL = r"[0-9]+(?:[.,][0-9]+)*"
+#: A token: a number or a word.  A word with a capital that doesn't start a sentence (after a
+#: lower-case letter or a comma and a space) keeps that space, which marks it as a name.
+TOKEN = r"(?: (?=\p{Lu})(?<=[\p{Ll},;] ))?+(?:\p{L}[\p{L}\p{M}]*+|[0-9]++(?:[.,][0-9]++)*+)"
 RUN = 8  # tokens in a row that count
 WINDOW, STRIDE = 5, 4  # every run of RUN tokens holds a window that starts at a multiple of STRIDE
+#: Kinds of tokens; a capital is a word with a capital that may just start a sentence.
+K_WORD, K_CAPITAL, K_NAME, K_NUMBER, K_UNIT = range(5)
 
 
-def cleaned(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT, "   ")
+def record(**fields: Column) -> Column:
+    """A struct whose names hold inside lambdas too."""
+    return F.named_struct(*(x for name, value in fields.items() for x in (F.lit(name), value)))
+
+
+def marked_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+
+
+def _kind(every: Column, x: Column, i: Column) -> Column:
+    """The kind of token ``x`` at place ``i`` of the marked tokens ``every``; common ones are told first."""
+
+    def number(token: Column) -> Column:
+        return (token >= "0") & (token < ":")
+
+    first = F.substring(x, 1, 1)
+    unit = number(F.get(every, i - 1)) & x.isin(*UNITS)
+    return (
+        F.when((x >= "a") & (x < "{"), F.when(unit, K_UNIT).otherwise(K_WORD))
+        .when(x < "!", K_NAME)
+        .when(number(x), K_NUMBER)
+        .when(first != F.lower(first), K_CAPITAL)
+        .otherwise(K_WORD)
+    )
+
+
+def kinds(every: Column) -> Column:
+    return F.transform(every, lambda x, i: _kind(every, x, i))
+
+
+def parsed_tokens(every: Column) -> Column:
+    """Structs (low, kind) of the marked tokens in a column: lower-case word and kind."""
+    return F.transform(every, lambda x, i: record(low=F.lower(F.ltrim(x)), kind=_kind(every, x, i)))
 
 
 def raw_tokens(text: Column) -> Column:
     """Words and numbers as they stand; as many as template tokens."""
-    return F.regexp_extract_all(cleaned(text), F.lit(f"{_NUMERAL}|{_WORD}"), F.lit(0))
+    return F.transform(marked_tokens(text), F.ltrim)
 
 
-#: Which words are names: those with a capital that don't start a sentence (after a lower-case
-#: letter or a comma and a space), all with a capital, none.
-MIDDLE, ALL, NONE = rf"(?<=[\p{{Ll}},;] )\p{{Lu}}[\p{{L}}\p{{M}}]*", rf"(?<![\p{{L}}\p{{M}}])\p{{Lu}}[\p{{L}}\p{{M}}]*", None
+def template_tokens(text: Column) -> Column:
+    """Lower-case words, with placeholders for numbers, units after numbers, and names."""
 
+    def template(t: Column) -> Column:
+        named = F.when(t["kind"] == K_NAME, NAME).when(t["kind"] == K_UNIT, UNIT)
+        return named.when(t["kind"] == K_NUMBER, NUMBER).otherwise(t["low"])
 
-def template_tokens(text: Column, names: str | None = MIDDLE) -> Column:
-    """Lower-case words, with placeholders for numbers, units after numbers, and ``names``."""
-    units = "|".join(sorted(UNITS, key=len, reverse=True))
-    text = cleaned(text)
-    if names:
-        text = F.regexp_replace(text, names, NAME)
-    text = F.regexp_replace(text, rf"(?<=[0-9])( ?)(?:{units})(?![\p{{L}}\p{{M}}])", "$1" + UNIT)
-    text = F.lower(F.regexp_replace(text, _NUMERAL, NUMBER))
-    return F.regexp_extract_all(text, F.lit(f"[{NUMBER}{NAME}{UNIT}]|{_WORD}"), F.lit(0))
+    return F.transform(parsed_tokens(marked_tokens(text)), template)
 
 
-def windows(rows: DataFrame, tokens: str, size: int, stride: int) -> DataFrame:
-    """One row per window: its place and hash."""
-    last = F.size(tokens) - size
-    places = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-    codes = F.transform(
-        places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(F.col(tokens), i + 1, F.lit(size))).alias("code"))
-    )
-    return rows.withColumn("__window", F.explode(codes)).select("*", "__window.*").drop("__window", tokens)
+def codes(every: Column, kind: Column) -> Column:
+    """A number for each of the marked tokens ``every`` of these kinds; names have that of their word."""
+
+    def code(x: Column, i: Column) -> Column:
+        return F.when(F.get(kind, i) >= K_NUMBER, F.get(kind, i).cast("long")).otherwise(F.xxhash64(F.lower(F.ltrim(x))))
+
+    return F.transform(every, code)
+
+
+def with_windows(rows: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
+    """``rows`` with ``text`` replaced by (at, code): windows, for each (size, stride) at every stride-th place.
+
+    A window has up to three forms: without names (which meets copies in lower case), with
+    the names in the middle of sentences, and with all capitalised words as names.  Forms that
+    are the same are given once.  The last one needs two other words: windows of names alone
+    would meet all texts in capitals.
+    """
+    others = [c for c in rows.columns if c != "text"]
+    marked = rows.select(*others, marked_tokens(F.col("text")).alias("__marked"))
+    kinded = marked.select(*others, "__marked", kinds(F.col("__marked")).alias("__kinds"))
+    coded = kinded.select(*others, codes(F.col("__marked"), F.col("__kinds")).alias("__codes"), "__kinds")
+
+    # all lengths from one reading of the texts
+    each = F.explode(F.array(*(record(size=F.lit(size), stride=F.lit(stride)) for size, stride in sizes)))
+    sized_rows = coded.select(*others, "__codes", "__kinds", each.alias("__w")).where(F.size("__codes") >= F.col("__w.size"))
+    places = F.sequence(F.lit(0), F.size("__codes") - F.col("__w.size"), F.col("__w.stride"))
+    placed = sized_rows.select(*others, "__codes", "__kinds", F.col("__w.size").alias("__size"), F.explode(places).alias("at"))
+
+    def for_size(of: Callable[[list[Column], list[Column]], Column]) -> Column:
+        """``of`` the codes and kinds in the window, whatever its size."""
+        chosen = None
+        for size, _ in sizes:
+            here = [[F.get(x, F.col("at") + k) for k in range(size)] for x in ("__codes", "__kinds")]
+            mine = F.col("__size") == size
+            chosen = F.when(mine, of(*here)) if chosen is None else chosen.when(mine, of(*here))
+        return chosen
+
+    def code(*named: int) -> Column:
+        def hashed(here: list[Column], kind: list[Column]) -> Column:
+            parts = [F.when(k.isin(*named), F.lit(K_NAME).cast("long")).otherwise(c) for c, k in zip(here, kind)]
+            return F.xxhash64(F.lit(len(here)), *(parts if named else here))
+
+        return for_size(hashed)
+
+    def number_of(named: int) -> Column:
+        return for_size(lambda _, kind: reduce(lambda a, b: a + b, [(k == named).cast("int") for k in kind]))
+
+    named = placed.select("*", number_of(K_CAPITAL).alias("__capitals"), number_of(K_NAME).alias("__names"))
+    names = F.when(F.col("__names") > 0, code(K_NAME))
+    worded = F.col("__capitals") + F.col("__names") <= F.col("__size") - 2
+    every = F.when((F.col("__capitals") > 0) & worded, code(K_NAME, K_CAPITAL))
+    forms = named.select(*others, "at", F.explode(F.array(code(), names, every)).alias("code"))
+    return forms.where("code is not null")
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(key, item, shift): documents and items that share a template window.
-
-    ``key`` stands for a row of ``docs``, ``item`` for a benchmark text; ``shift`` is the place in the
-    document of the item's first token.  Every run of eight tokens in common is met by a
-    window of five at a multiple of four, in one of three forms: with names in the middle of
-    sentences, with all capitalised words as names, and without names (for copies in
-    lower case).  Items of fewer tokens are windows of their own
-    length, looked for at every place.  The benchmark's windows are broadcast only if
-    there are no more than ``broadcast_rows`` of 24 bytes; else the join is a shuffle.
+    """(key, item, size, shift): documents and items that share a template window.
+
+    ``key`` stands for a row of ``docs``, ``item`` for a benchmark text of ``size`` tokens; ``shift`` is
+    the place in the document of the item's first token.  Every run of eight tokens in common is met by
+    a window of five at a multiple of four, in one of its forms.  Items of fewer tokens are windows of
+    their own length, looked for at every place.  Texts are read once for all of that.  The benchmark's
+    windows are broadcast only if there are no more than ``broadcast_rows`` of 32 bytes; else the
+    join is a shuffle.
     """
-    found = []
-    short = None
-    for names in (MIDDLE, ALL, NONE):
-        items = benchmark.select("item", template_tokens(F.col("text"), names).alias("tokens"))
-        if short is None:  # all forms have the same number of tokens
-            sizes = items.where((F.size("tokens") < RUN) & (F.size("tokens") > 0)).select(F.size("tokens"))
-            short = sorted(r[0] for r in sizes.distinct().collect())
-        texts = docs.select(row_key().alias("key"), template_tokens(F.col("text"), names).alias("tokens"))
-        for size, stride in [(0, STRIDE), *((n, 1) for n in short if names != ALL)]:
-            mine = items.where(F.size("tokens") >= RUN) if not size else items.where(F.size("tokens") == size)
-            if names == ALL:  # windows of names alone would meet all texts in capitals
-                worded = F.transform("tokens", lambda x, j: F.size(F.filter(F.slice(F.col("tokens"), j + 1, F.lit(WINDOW)), lambda y: y != NAME)) >= 2)
-                mine = mine.withColumn("worded", worded)
-            asked = windows(mine, "tokens", size or WINDOW, 1).withColumnRenamed("at", "item_at")
-            if names == ALL:
-                asked = asked.where(F.get("worded", F.col("item_at")))
-            asked = asked.select("item", "item_at", "code")
-            if asked.count() <= broadcast_rows:
-                asked = F.broadcast(asked)
-            met = windows(texts, "tokens", size or WINDOW, stride).join(asked, "code")
-            found.append(met.select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")))
-    return reduce(DataFrame.union, found).distinct()
-
-
-def covered(same: str, run: Column) -> Column:
-    """A text of 0 and 1 without its runs of 1 shorter than ``run`` (at most RUN)."""
-    kept = F.col(same)
-    for n in range(1, RUN):
-        kept = F.when(run > n, F.regexp_replace(kept, f"(?<!1)1{{{n}}}(?!1)", "0" * n)).otherwise(kept)
-    return kept
+    items = table(benchmark.select("item", "text", F.size(marked_tokens(F.col("text"))).alias("size")), "benchmark")
+    sizes = items.where(F.col("size").between(1, RUN - 1)).select("size").distinct()
+    short = sorted(r[0] for r in sizes.collect())  # at most seven numbers
+    asked = [with_windows(items.where(F.col("size") >= RUN), [(WINDOW, 1)])]
+    asked += [with_windows(items.where(F.col("size") == n), [(n, 1)]) for n in short]
+    asked = table(reduce(DataFrame.union, asked).withColumnRenamed("at", "item_at").distinct(), "benchmark-windows")
+    if asked.count() <= broadcast_rows:
+        asked = F.broadcast(asked)
+    texts = docs.select(row_key().alias("key"), "text")
+    met = with_windows(texts, [(WINDOW, STRIDE), *((n, 1) for n in short)]).join(asked, "code")
+    return met.select("key", "item", "size", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+
+
+#: A 1 that isn't in a run of RUN or more.
+_ALONE = "(?!" + "|".join(f"(?<=1{{{n}}})1{{{RUN - n}}}" if n else f"1{{{RUN}}}" for n in range(RUN)) + ")1"
+
+
+def covered(same: Column) -> Column:
+    """A text of 0 and 1 without its short runs of 1: shorter than RUN, or than an item of fewer tokens."""
+    short = F.when(F.contains(same, F.lit("0")), F.translate(same, "1", "0")).otherwise(same)
+    return F.when(F.length(same) >= RUN, F.regexp_replace(same, _ALONE, "0")).otherwise(short)
 
 
 def held_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5) -> DataFrame:
@@ -114,37 +178,37 @@ def held_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5)
     asked = benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id"))
     asked = table(asked.select(F.xxhash64("text").alias("item"), "item_id", "text"), "benchmark")
     met = table(find_items(docs, asked), "met")
-    pairs = table(met.groupBy("key").agg(F.collect_set(F.struct("item", "shift")).alias("met")), "met")
-    sides = (
-        docs.select(row_key().alias("key"), "text")
-        .join(sized(pairs), "key")
-        .dropDuplicates(["key"])
-        .select("key", raw_tokens(F.col("text")).alias("raw"), template_tokens(F.col("text")).alias("tokens"), F.explode("met").alias("m"))
-        .select("key", "raw", "tokens", "m.*")
-        .join(
-            asked.select(
-                "item", raw_tokens(F.col("text")).alias("item_raw"), template_tokens(F.col("text")).alias("item_tokens")
-            ),
-            "item",
-        )
-    )
-    shift = F.col("shift")
-    size = F.size("item_tokens")
+    pairs = table(met.groupBy("key").agg(F.collect_set(F.struct("item", "size", "shift")).alias("met")), "met")
+    # Only the part of a document that an item is laid over goes on with the pair.
+    texts = docs.select(row_key().alias("key"), "text").join(sized(pairs), "key").dropDuplicates(["key"])
+    texts = texts.select("key", "met", marked_tokens(F.col("text")).alias("marked"))
+    texts = texts.select("key", parsed_tokens(F.col("marked")).alias("tokens"), F.explode("met").alias("m"))
+    start = F.greatest(F.col("m.shift"), F.lit(0))
+    part = F.slice("tokens", start + 1, F.col("m.shift") + F.col("m.size") - start)
+    parts = texts.select("key", "m.item", "m.size", "m.shift", (start - F.col("m.shift")).alias("lead"), part.alias("part"))
+    item_tokens = asked.select("item", marked_tokens(F.col("text")).alias("marked"))
+    item_tokens = table(item_tokens.select("item", parsed_tokens(F.col("marked")).alias("tokens")), "benchmark")
+    laid = parts.join(sized(item_tokens), "item")
+
+    def over(j: Column) -> Column:
+        """The document's token under the item's one at ``j``; none ahead of the document or after it."""
+        return F.when(j >= F.col("lead"), F.get("part", F.greatest(j - F.col("lead"), F.lit(0))))
 
     def compared(x: Column, j: Column) -> Column:
-        y, mine, there = F.get("tokens", shift + j), F.get("raw", shift + j), F.get("item_raw", j)
-        equal = (x == y) | (F.lower(mine) == F.lower(there))
-        capital = mine.rlike(r"^\p{Lu}") | there.rlike(r"^\p{Lu}")
-        words = ~x.isin(NUMBER, UNIT) & ~y.isin(NUMBER, UNIT)
-        return F.when(shift + j < 0, "0").when(equal, "1").when(capital & words, "~").otherwise("0")
-
-    same = F.array_join(F.transform("item_tokens", compared), "")
-    laid = sides.withColumn("same", F.replace(same, F.lit("~"), F.lit("0")))
+        y = over(j)
+        alike = (x["kind"] == y["kind"]) & x["kind"].isin(K_NAME, K_NUMBER, K_UNIT)
+        capital = x["kind"].isin(K_CAPITAL, K_NAME) | y["kind"].isin(K_CAPITAL, K_NAME)
+        words = ~x["kind"].isin(K_NUMBER, K_UNIT) & ~y["kind"].isin(K_NUMBER, K_UNIT)
+        return F.when(y.isNull(), "0").when(alike | (x["low"] == y["low"]), "1").when(capital & words, "~").otherwise("0")
+
+    same = F.array_join(F.transform("tokens", compared), "")
+    laid = laid.withColumn("compared", same)
+    laid = laid.withColumn("same", F.replace("compared", F.lit("~"), F.lit("0")))
     # one place between equal ones that differs in a capitalised word doesn't end a run
-    bridged = F.replace(F.regexp_replace(same, "(?<![~0])~(?![~0])", "1"), F.lit("~"), F.lit("0"))
-    laid = laid.withColumn("bridged", F.when(size >= RUN, bridged).otherwise(F.col("same")))
-    run = F.least(size, F.lit(RUN))
-    laid = laid.withColumn("plain_kept", covered("same", run)).withColumn("bridged_kept", covered("bridged", run))
+    bridged = F.replace(F.regexp_replace("compared", "(?<![~0])~(?![~0])", "1"), F.lit("~"), F.lit("0"))
+    laid = laid.withColumn("bridged", F.when(F.col("size") >= RUN, bridged).otherwise(F.col("same")))
+    laid = laid.withColumn("plain_kept", covered(F.col("same"))).withColumn("bridged_kept", covered(F.col("bridged")))
+    laid = laid.where(F.contains("plain_kept", F.lit("1")) | F.contains("bridged_kept", F.lit("1")))
     # read without bridges and with them
     plain = F.struct(F.lit(False).alias("bridges"), F.col("plain_kept").alias("kept"))
     other = F.struct(F.lit(True).alias("bridges"), F.col("bridged_kept").alias("kept"))
@@ -152,14 +216,21 @@ def held_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = 0.5)
     laid = laid.withColumn("bridges", F.col("read.bridges")).withColumn("kept", F.col("read.kept"))
     # how much of the item a shift covers: in a periodic text several shifts cover the same places
     length = F.length(F.replace("kept", F.lit("0"), F.lit("")))
+
+    def placed(x: Column, j: Column) -> Column:
+        y = over(j)
+        capital = x["kind"].isin(K_CAPITAL, K_NAME) | y["kind"].isin(K_CAPITAL, K_NAME)
+        name = (x["kind"] == K_NAME) | (F.col("bridges") & capital)
+        slot = F.when(name, record(a=x["low"], b=y["low"]))
+        return F.when(F.substring("kept", j + 1, F.lit(1)) == "1", record(j=j, slot=slot))
+
+    # a row per covered place: numbers, and the two words only where it is a name
     places = laid.select(
-        "key", "item", "bridges", "shift", F.struct((-length).alias("less"), "shift").alias("order"), "raw", "item_raw", "item_tokens", size.alias("size"), F.posexplode(F.split("kept", "")).alias("j", "one")
-    ).where("one = '1'")
-    there, mine = F.get("item_raw", F.col("j")), F.get("raw", F.col("shift") + F.col("j"))
-    name = (F.get("item_tokens", F.col("j")) == NAME) | (F.col("bridges") & (there.rlike(r"^\p{Lu}") | mine.rlike(r"^\p{Lu}")))
-    here = F.struct(F.lower(there).alias("a"), F.lower(mine).alias("b"))
+        "key", "item", "bridges", "size", F.struct((-length).alias("less"), "shift").alias("order"),
+        F.explode(F.array_compact(F.transform("tokens", placed))).alias("place"),
+    )
     # a place that several shifts cover is read at that which covers most, then the smallest
-    one = places.groupBy("key", "item", "bridges", "size", "j").agg(F.min_by(F.when(name, here), "order").alias("slot"))
+    one = places.groupBy("key", "item", "bridges", "size", "place.j").agg(F.min_by("place.slot", "order").alias("slot"))
     judged = one.groupBy("key", "item", "bridges", "size").agg(
         F.count("*").alias("n"), F.count_distinct("slot").alias("pairs"), F.count_distinct("slot.a").alias("names")
     )
