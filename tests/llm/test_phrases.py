@@ -61,3 +61,11 @@ def test_long_texts_and_an_empty_table(spark):
 def test_phrases_cover_a_stretch():
     assert phrases_of([(3, 3, 1)], 5) == [(3, 1)]
     assert phrases_of([(3, 9, 1), (10, 14, 1), (15, 15, 0)], 5) == [(3, 1), (8, 1), (13, 1), (14, 1), (15, 0)]
+
+
+def test_many_equal_rows(spark):
+    dice = random.Random(4)
+    words = [dice.choice(["a", "b", "c", "d"]) for _ in range(90)]
+    rows = [(5, " ".join(words))] * 400 + [(None, " ".join(words[:70]))] * 300 + [(7, " ".join(words[10:]))]
+    got = {(str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in remove_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(brute(rows[398:402] + rows[-1:], 50))

@@ -58,3 +58,28 @@ def test_long_texts_in_pieces(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_repeated_rows_are_counted_not_multiplied(spark, monkeypatch):
+    sizes = {}
+    kept = repeats.table
+
+    def counted(df, label):
+        out = kept(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "table", counted)
+    dice = random.Random(2)
+    text = "".join(dice.choice("abcdefgh ") for _ in range(900))
+    other = text[:500] + "x" + text[500:]
+    seen = []
+    for n in (3, 1000):
+        sizes.clear()
+        rows = [(None, text)] * n + [(1, other), (2, text[100:]), (3, "c" * 100)]
+        got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        few = [(None, text)] * 3 + rows[n:]
+        assert {(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == set(brute(few, 400))
+        assert len(got) == n + 3
+        seen.append((sum(sizes["items"]), sum(sizes["judged"])))
+    assert seen[0] == seen[1]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 from tidemark.session import new_folder, settings
 
@@ -49,12 +51,35 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def sized(rows: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """``rows``, to be broadcast if there are at most ``most``; else joined by a shuffle.
+#: Tables up to this many bytes of rows are broadcast.
+BROADCAST_BYTES = 32 << 20
 
-    For stored tables with rows of a few dozen bytes: the count reads no column.
+
+def row_bytes(rows: DataFrame) -> Column | int:
+    """Bytes of a row: a number, or a column where the row has lists or texts."""
+    fixed, wide = 8, []
+    for field in rows.schema.fields:
+        kind, value = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, ArrayType):
+            each = 8 * (len(kind.elementType.fields) if isinstance(kind.elementType, StructType) else 1)
+            if kind.elementType.simpleString() in ("string", "binary"):
+                wide.append(F.coalesce(F.aggregate(value, F.lit(0), lambda n, x: n + 8 + F.coalesce(F.octet_length(x), F.lit(0))), F.lit(0)))
+            else:
+                wide.append(F.coalesce(F.size(value) * each, F.lit(0)))
+        elif isinstance(kind, (StringType, BinaryType)):
+            wide.append(F.coalesce(F.octet_length(value), F.lit(0)))
+        fixed += 8 * (len(kind.fields) if isinstance(kind, StructType) else 1)
+    return reduce(lambda a, b: a + b, wide, F.lit(fixed)) if wide else fixed
+
+
+def sized(rows: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows``, to be broadcast if they have at most ``most`` bytes; else joined by a shuffle.
+
+    For stored tables, which are read for it: only their count if all columns have a fixed width.
     """
-    return F.broadcast(rows) if rows.count() <= most else rows
+    width = row_bytes(rows)
+    total = rows.count() * width if isinstance(width, int) else rows.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(rows) if total <= most else rows
 
 
 def row_key() -> Column:

@@ -134,11 +134,11 @@ def keyed(digests: Digests, anchor, lo, hi, cell: int, w: Window) -> tuple[np.nd
     return owner, a - to, a - from_, core, *spans
 
 
-ITEMS = "key long, doc long, anchor int, lo int, hi int, core long, span1 long, span2 long"
+ITEMS = "key long, doc long, copies int, anchor int, lo int, hi int, core long, span1 long, span2 long"
 
 
-def _batch(key, doc, anchor, lo, hi, core, span1, span2) -> pa.RecordBatch:
-    small = [pa.array(x.astype(np.int32)) for x in (anchor, lo, hi)]
+def _batch(key, doc, copies, anchor, lo, hi, core, span1, span2) -> pa.RecordBatch:
+    small = [pa.array(x.astype(np.int32)) for x in (copies, anchor, lo, hi)]
     codes = [pa.array(x.view(np.int64)) for x in (core, span1, span2)]
     names = [x.split()[0] for x in ITEMS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), *small, *codes], names=names)
@@ -168,19 +168,19 @@ def _pieces(batch: pa.RecordBatch, units_of: Callable, w: Window) -> Iterator[tu
 
 
 def first_items(docs: DataFrame, units_of: Callable, w: Window) -> DataFrame:
-    """The items of all documents (key, doc, text): one per anchor and stretch."""
+    """The items of all documents (key, doc, copies, text): one per anchor and stretch."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, doc = batch["key"].to_numpy(), batch["doc"].to_numpy()
+            key, doc, copies = (batch[name].to_numpy() for name in ("key", "doc", "copies"))
             for units, begin, size, rows, bases in _pieces(batch, units_of, w):
                 digests = Digests(units)
                 piece, anchor, lo, hi = runs(digests, begin, size, w)
                 _, lo, hi, *codes = keyed(digests, anchor, lo, hi, 0, w)
                 row, shift = rows[piece], (bases - begin)[piece]
-                yield _batch(key[row], doc[row], anchor + shift, lo + shift, hi + shift, *codes)
+                yield _batch(key[row], doc[row], copies[row], anchor + shift, lo + shift, hi + shift, *codes)
 
-    return docs.select("key", "doc", "text").mapInArrow(scan, ITEMS)
+    return docs.select("key", "doc", "copies", "text").mapInArrow(scan, ITEMS)
 
 
 def finer_items(docs: DataFrame, left: DataFrame, units_of: Callable, cell: int, w: Window, most: int = 4_000_000) -> DataFrame:
@@ -207,10 +207,22 @@ def finer_items(docs: DataFrame, left: DataFrame, units_of: Callable, cell: int,
                     digests = Digests(units[base : base + CHUNK - 1])
                     a = anchor[here] - base
                     owner, low, high, *codes = keyed(digests, a, lo[here] - base, hi[here] - base, cell, w)
-                    ids = [np.full(len(owner), batch[name][i].as_py(), dtype=np.int64) for name in ("key", "doc")]
+                    ids = [np.full(len(owner), batch[name][i].as_py(), dtype=np.int64) for name in ("key", "doc", "copies")]
                     yield _batch(*ids, a[owner] + base, low + base, high + base, *codes)
 
-    return docs.join(lists, "key").select("key", "doc", "text", "items").mapInArrow(scan, ITEMS)
+    return docs.join(lists, "key").select("key", "doc", "copies", "text", "items").mapInArrow(scan, ITEMS)
+
+
+def once(docs: DataFrame) -> DataFrame:
+    """Rows (key, doc, text), one for each ``key``, with ``copies``: how many rows it stands for."""
+    repeated = docs.groupBy("key").agg(F.count("*").cast("int").alias("copies")).where("copies > 1")
+    repeated = table(repeated.withColumnRenamed("key", "__key"), "repeated-rows")
+    docs = docs.select("key", "doc", "text")
+    if repeated.isEmpty():
+        return docs.withColumn("copies", F.lit(1))
+    named = sized(repeated)
+    single = docs.join(named, F.col("key") == F.col("__key"), "left_anti").withColumn("copies", F.lit(1))
+    return single.union(docs.join(named, F.col("key") == F.col("__key")).drop("__key").dropDuplicates(["key"]))
 
 
 COVERED = "key long, doc long, lo int, hi int, first long"
@@ -223,18 +235,20 @@ def repeated_windows(docs: DataFrame, units_of: Callable, w: Window, earlier: bo
     counts if it also starts in a row with a smaller ``doc``; else if it also starts
     anywhere else, the same text included.  ``first`` is the smallest ``doc`` with that stretch.
     Groups are only ever counted and joined: a passage that a third of all documents
-    have is pre-aggregated, and one of its items goes on.
+    have is pre-aggregated, and one of its items goes on.  Rows that are equal in id and text
+    are searched once, as so many copies.
     """
+    docs = once(docs)
     found = []
     items = table(first_items(docs, units_of, w), "items")
     for cell in [*w.cells, None]:
-        counts = items.groupBy("core").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"))
+        counts = items.groupBy("core").agg(F.sum("copies").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"))
         alive = table(counts.where("low != high" if earlier else "n > 1").select("core"), "cores")
         items = table(items.join(sized(alive), "core"), "alive")
         spans = ["core", "span1", "span2"]
         groups = table(
             items.groupBy(*spans).agg(
-                F.count("*").alias("n"), F.min("doc").alias("first"), F.min(F.struct("key", "lo")).alias("one")
+                F.sum("copies").alias("n"), F.min("doc").alias("first"), F.min(F.struct("key", "lo")).alias("one")
             ),
             "spans",
         )
