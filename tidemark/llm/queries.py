@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, licenses, lines, packing, phrases, simhash, suffixes, toxicity, warc, winnowing
+from tidemark.llm import (
+    collocations,
+    decontamination,
+    licenses,
+    lines,
+    maintext,
+    merkle,
+    packing,
+    phrases,
+    simhash,
+    suffixes,
+    toxicity,
+    warc,
+    winnowing,
+)
 from tidemark.llm.common import documents
 
 
@@ -100,6 +114,24 @@ def op10_warc_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of each page, without menus, adverts and the like."""
+    return maintext.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's leaf, proof and root, and whether its text still gives that root."""
+    return merkle.verify_documents(documents(spark, sf_dir))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two to five words in each language."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 ORACLES["op10_warc_history"] = r"""
 with p as (
     select page_id, url, coalesce(html, '') as html from pages
