@@ -72,6 +72,7 @@ def test_small_chunks_hot_prefixes_and_a_full_filter(spark, monkeypatch):
     """Every batch is counted by itself, all prefixes are cut into slices, every bit of the filter is set."""
     monkeypatch.setattr(C, "HOT_SHARE", 10**6)
     monkeypatch.setattr(C, "filter_of", lambda phrases, bits: b"\xff" * 4096)
+    monkeypatch.setattr(C, "likely_phrases", lambda texts, size, shorter, least, bits: b"\xff" * 4096)
     rows = some_rows(1)
     assert got_of(collocations(frame_of(spark, rows).repartition(5), least=3, chunk=1)) == brute(rows, 5, 3, 2000)
 
@@ -100,3 +101,32 @@ def test_filter_has_what_was_added(spark):
     columns = [np.ascontiguousarray(rows[:, i]) for i in range(3)]
     assert known.has(C.phrase_hash(columns)).all()
     assert known.has(C.phrase_hash([c + 1 for c in columns])).mean() < 0.02
+
+
+def test_likely_phrases_miss_none(spark):
+    dice = np.random.default_rng(1)
+    codes = np.r_[0, dice.integers(1, 40, 5000), 0]
+    frame = spark.createDataFrame([(lang, part.tolist()) for lang in ("a", "b") for part in np.split(codes, [2000, 2500])], "lang string, codes array<long>")
+    counted = Counter()
+    for part in np.split(codes, [2000, 2500]):
+        counted.update(zip(part[:-1].tolist(), part[1:].tolist()))
+    likely = C.Filter(C.likely_phrases(frame.repartition(3), 2, None, 10, 16))
+    pairs = np.array([p for p, n in counted.items() if 0 not in p], dtype=np.int64)
+    often = np.array([2 * n >= 10 for p, n in counted.items() if 0 not in p])
+    has = likely.has(C.phrase_hash([np.ascontiguousarray(pairs[:, i]) for i in (0, 1)]))
+    assert has[often].all() and 10 < often.sum() < len(often) and has[~often].mean() < 0.1
+
+
+def test_stripes_merge_elementwise(spark):
+    dice = random.Random(9)
+    counted, rows = Counter(), []
+    for _ in range(400):
+        lang, prefix = dice.choice("ab"), [dice.randrange(4), dice.randrange(-3, 3)]
+        entries = {dice.randrange(20): dice.randrange(1, 5) for _ in range(dice.randrange(1, 9))}
+        rows.append((lang, prefix, 0, sorted(entries), [entries[x] for x in sorted(entries)]))
+        for x, n in entries.items():
+            counted[lang, *prefix, x] += n
+    frame = spark.createDataFrame(rows, C.STRIPES).repartition(5)
+    got = {(r.lang, *r.prefix, r.next): r.n for r in C.merged(frame, 10).collect()}
+    assert got == {k: n for k, n in counted.items() if n >= 10} and len(got) > 20
+    assert C.merged(frame.limit(0), 10).count() == 0

@@ -8,10 +8,11 @@ is an entry of the stripe one word shorter, and the largest entry of a stripe is
 to the right; entries keyed by all but their first word give the largest to the left.
 
 Stripes are counted length by length.  A phrase that is frequent has frequent parts, so
-prefixes of k words are extended only where both phrases of k words in the extension may be frequent.
-What is frequent reaches the tasks as a bitmap of fixed size: a bit that several phrases share costs a needless
-count and changes no result.  Texts are read twice, once to count words and once to turn words into codes; the
-lengths after that work on codes.
+prefixes of k words are extended only where both phrases of k words in the extension may be frequent.  Hashes
+of the extended phrases are counted in buckets first, and a phrase goes into a stripe
+only if its bucket holds enough for a frequent one.  What may be frequent reaches the tasks as a bitmap
+of fixed size: a bit that several phrases share costs a needless count and changes no result.  Texts are read
+twice, once to count words and once to turn words into codes; the lengths after that work on codes.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +35,10 @@ TOP = 2000  # phrases reported for each language
 FILTER_BITS = 24
 HOT_SHARE = 512  # a prefix with more than one in so many words has its stripe cut into SLICES
 SLICES = 32
-CHUNK = 1 << 21  # codes counted at once
+CHUNK = 1 << 21  # phrases counted at once
+WORDS_A_BUCKET = 8  # there are that many fewer buckets of phrases than words
+BUCKET_BITS = 16, 26  # and 2^16 at least, 2^26 at most
+BLOCK = 1 << 15  # buckets in a row
 
 #: A-Z in lower case; what ends a piece becomes a full stop, which no piece has.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz.........")
@@ -74,8 +79,11 @@ def word_counts(docs: DataFrame, most: int = 500_000) -> DataFrame:
     return table(partial.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
 
 
+MIX = 0xFF51AFD7ED558CCD
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(MIX)
     return h ^ (h >> np.uint64(29))
 
 
@@ -115,7 +123,7 @@ def filter_of(phrases: DataFrame, bits: int) -> bytes:
     maps = each.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     size = 1 << 12  # bytes in a bucket
     data = bytearray(max(1 << bits >> 3, size))
-    for bucket, some in maps.toLocalIterator():  # at most 2^bits / 32768 rows
+    for bucket, some in maps.collect():  # at most 2^bits / 32768 rows
         data[(bucket - 1) * size : bucket * size] = some
     return bytes(data)
 
@@ -123,15 +131,17 @@ def filter_of(phrases: DataFrame, bits: int) -> bytes:
 class Codes(dict):
     """Codes of words, 0 for a word that isn't frequent; forgets when it has grown too large."""
 
-    def __init__(self, frequent: Filter, salt: bytes, most: int = 1 << 20):
+    def __init__(self, frequent: bytes, salt: bytes, most: int = 1 << 20):
         self.frequent, self.salt, self.most = frequent, salt, most
+        self.mask = 8 * len(frequent) - 1
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
             self.clear()
         code = xxhash.xxh64_intdigest(word + self.salt, 42)
-        known = word != b"." and self.frequent.has(np.array([code], dtype=np.uint64))[0]
-        self[word] = found = code if known else 0
+        h = (code ^ (code >> 33)) * MIX & (1 << 64) - 1
+        at = (h ^ (h >> 29)) & self.mask
+        self[word] = found = code if word != b"." and self.frequent[at >> 3] >> (at & 7) & 1 else 0
         return found
 
 
@@ -143,7 +153,7 @@ def coded(docs: DataFrame, frequent: bytes, salt: str, most: int = 1 << 16) -> D
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Codes(Filter(frequent), salt.encode())
+        of = Codes(frequent, salt.encode())
         for batch in batches:
             langs, rows = [], []
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
@@ -167,48 +177,103 @@ def runs_only(codes: np.ndarray) -> np.ndarray:
     return codes[kept | (np.r_[False, kept[:-1]] & ~kept)]
 
 
-def stripes_of(codes: np.ndarray, size: int, shorter: Filter | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Phrases of ``size`` codes in a sequence, ordered by prefix: (codes row by row, counts, starts of prefixes).
+def occurrences(codes: np.ndarray, size: int, shorter: Filter | None, likely: Filter | None = None) -> np.ndarray:
+    """The phrases of ``size`` codes in a sequence, one row each.
 
-    A phrase counts where it holds no 0 and its first and last ``size`` - 1 codes are in ``shorter``.
+    They hold no 0, their first and last ``size`` - 1 codes are in ``shorter``, and they are in ``likely``.
     """
     n = len(codes) - size + 1
-    none = np.zeros((0, size), dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     if n <= 0:
-        return none
+        return np.zeros((0, size), dtype=np.int64)
     some = codes != 0
-    whole = np.logical_and.reduce([some[i : i + n] for i in range(size)])
-    at = np.flatnonzero(whole)
+    at = np.flatnonzero(np.logical_and.reduce([some[i : i + n] for i in range(size)]))
     if shorter is not None:
         at = at[shorter.has(phrase_hash([codes[at + i] for i in range(size - 1)]))]
         at = at[shorter.has(phrase_hash([codes[at + i] for i in range(1, size)]))]
-    if not len(at):
-        return none
-    words, place = np.unique(codes, return_inverse=True)
-    prefix, phrase, first = None, place[at].astype(np.int64), at
+    if likely is not None:
+        at = at[likely.has(phrase_hash([codes[at + i] for i in range(size)]))]
+    return np.stack([codes[at + i] for i in range(size)], axis=1)
+
+
+def stripes_of(phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different phrases (rows of codes) ordered by prefix, their counts, and where each prefix starts."""
+    size = phrases.shape[1]
+    words, place = np.unique(phrases, return_inverse=True)
+    place = place.reshape(phrases.shape).astype(np.int64)
+    keys, first, phrase, counts = place[:, 0], None, place[:, 0], None
     for i in range(1, size):
-        prefix = phrase
-        keys, first, phrase, counts = np.unique(prefix * len(words) + place[at + i], return_index=True, return_inverse=True, return_counts=True)
-    starts = keys // len(words)
-    rows = np.stack([codes[at[first] + i] for i in range(size)], axis=1)
-    return rows, counts, np.flatnonzero(np.r_[True, starts[1:] != starts[:-1]])
+        keys, first, phrase, counts = np.unique(
+            phrase * len(words) + place[:, i], return_index=True, return_inverse=True, return_counts=True
+        )
+    prefixes = keys // max(len(words), 1)
+    starts = np.flatnonzero(np.r_[True, prefixes[1:] != prefixes[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
+    return phrases[first], counts, starts
+
+
+def sequences(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """The codes of a batch, one sequence for each language."""
+    every: dict[str, list[np.ndarray]] = {}
+    for lang, codes in zip(batch["lang"].to_pylist(), batch["codes"]):
+        every.setdefault(lang, []).append(codes.values.to_numpy())
+    for lang, parts in every.items():
+        yield lang, np.concatenate(parts)
+
+
+def likely_phrases(texts: DataFrame, size: int, shorter: bytes | None, least: int, bits: int) -> bytes:
+    """A bitmap of 2^``bits`` buckets: those whose phrases of ``size`` codes occur ``least`` times, all languages together.
+
+    Tasks count up to 255 and send the buckets that aren't empty; a stream of rows is added up for each block of buckets.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shorter and Filter(shorter)
+        counts = np.zeros(1 << bits, dtype=np.uint8)
+        for batch in batches:
+            for _, codes in sequences(batch):
+                phrases = occurrences(codes, size, known)
+                hashes = phrase_hash([np.ascontiguousarray(phrases[:, i]) for i in range(size)])
+                at = (mixed(hashes) & np.uint64((1 << bits) - 1)).astype(np.int64)
+                bucket, n = np.unique(at, return_counts=True)
+                counts[bucket] = np.minimum(counts[bucket] + n, 255)
+        for start in range(0, 1 << bits, BLOCK):
+            here = counts[start : start + BLOCK]
+            some = np.flatnonzero(here)
+            if len(some):
+                columns = [pa.array([start // BLOCK]), pa.array([some.astype(np.uint16).tobytes()]), pa.array([here[some].tobytes()])]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "place", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, place, n in zip(batch["block"].to_pylist(), batch["place"], batch["n"]):
+                total = totals.setdefault(block, np.zeros(BLOCK, dtype=np.uint32))
+                total[np.frombuffer(place.as_py(), dtype=np.uint16)] += np.frombuffer(n.as_py(), dtype=np.uint8)
+                np.minimum(total, 1 << 16, out=total)
+        maps = [np.packbits(total >= least, bitorder="little").tobytes() for total in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(maps, pa.binary())], names=["block", "bits"])
+
+    partial = texts.mapInArrow(count, "block long, place binary, n binary")
+    data = bytearray(max(1 << bits, BLOCK) >> 3)
+    for block, some in partial.repartition("block").mapInArrow(add, "block long, bits binary").collect():
+        data[block * len(some) : (block + 1) * len(some)] = some  # the bitmap is all that comes back
+    return bytes(data)
 
 
 STRIPES = "lang string, prefix array<long>, slice int, next array<long>, n array<long>"
 
 
-def stripes(texts: DataFrame, size: int, shorter: bytes | None, hot: set[tuple], chunk: int = CHUNK) -> DataFrame:
+def stripes(texts: DataFrame, size: int, shorter: bytes | None, likely: bytes, hot: set[tuple], chunk: int = CHUNK) -> DataFrame:
     """The stripes of (lang, codes) for phrases of ``size`` codes, as counted by tasks.
 
     A stripe of a prefix in ``hot`` (lang and codes) is cut by its next words into slices.  A task sends what it
-    has counted after every ``chunk`` codes.
+    has counted after every ``chunk`` phrases.
     """
     hottest = {(lang, np.array(prefix, dtype=np.int64).tobytes()) for lang, prefix in hot}
 
-    def rows_of(lang: str, parts: list[np.ndarray], known: Filter | None) -> pa.RecordBatch:
-        phrases, counts, starts = stripes_of(np.concatenate(parts), size, known)
+    def rows_of(lang: str, parts: list[np.ndarray]) -> pa.RecordBatch:
+        phrases, counts, starts = stripes_of(np.concatenate(parts))
         slices = np.zeros(len(starts), dtype=np.int32)
-        prefixes = phrases[starts, : size - 1] if len(starts) else phrases[:, : size - 1]
+        prefixes = phrases[starts, : size - 1]
         cut = [i for i, p in enumerate(prefixes) if (lang, p.tobytes()) in hottest] if hottest else []
         if cut:
             stops = np.r_[starts[1:], len(phrases)]
@@ -231,30 +296,70 @@ def stripes(texts: DataFrame, size: int, shorter: bytes | None, hot: set[tuple],
         return pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "slice", "next", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if shorter is None else Filter(shorter)
+        filters = [data and Filter(data) for data in (shorter, likely)]
         held: dict[str, list[np.ndarray]] = {}
-        size_held = 0
+        n = 0
         for batch in batches:
-            for lang, codes in zip(batch["lang"].to_pylist(), batch["codes"]):
-                held.setdefault(lang, []).append(codes.values.to_numpy())
-                size_held += len(codes.values)
-            if size_held >= chunk:
-                yield from (rows_of(lang, parts, known) for lang, parts in held.items())
-                held, size_held = {}, 0
-        yield from (rows_of(lang, parts, known) for lang, parts in held.items())
+            for lang, codes in sequences(batch):
+                found = occurrences(codes, size, *filters)
+                if len(found):
+                    held.setdefault(lang, []).append(found)
+                    n += len(found)
+            if n >= chunk:
+                yield from (rows_of(lang, parts) for lang, parts in held.items())
+                held, n = {}, 0
+        yield from (rows_of(lang, parts) for lang, parts in held.items())
 
     return texts.mapInArrow(count, STRIPES)
 
 
+def merged_rows(rows: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """Stripes in the order of their keys, those with equal keys added up: (all but the last, as entries; the last)."""
+    lang = rows["lang"].dictionary_encode().indices.to_numpy()
+    prefix = rows["prefix"].flatten().to_numpy().reshape(rows.num_rows, -1)
+    part = rows["slice"].to_numpy()
+    other = (lang[1:] != lang[:-1]) | (prefix[1:] != prefix[:-1]).any(axis=1) | (part[1:] != part[:-1])
+    firsts, stripe = np.flatnonzero(np.r_[True, other]), np.r_[0, np.cumsum(other)]
+    owner = np.repeat(stripe, rows["next"].value_lengths().to_numpy())
+    entry, n = rows["next"].flatten().to_numpy(), rows["n"].flatten().to_numpy()
+    order = np.lexsort((entry, owner))
+    owner, entry, n = owner[order], entry[order], n[order]
+    at = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (entry[1:] != entry[:-1])])
+    owner, entry, n = owner[at], entry[at], np.add.reduceat(n, at)
+    last = owner == stripe[-1]
+    row = rows.slice(int(firsts[-1]), 1)
+    held = [row["lang"], row["prefix"], row["slice"], *(pa.array([x[last]], pa.list_(pa.int64())) for x in (entry, n))]
+    place = pa.array(firsts[owner[~last]])
+    done = [rows["lang"].take(place), rows["prefix"].take(place), pa.array(entry[~last]), pa.array(n[~last])]
+    names = ["lang", "prefix", "slice", "next", "n"]
+    return (
+        pa.RecordBatch.from_arrays(done, names=["lang", "prefix", "next", "n"]),
+        pa.RecordBatch.from_arrays(held, names=names),
+    )
+
+
 def merged(partial: DataFrame, least: int) -> DataFrame:
     """(lang, prefix, next, n): stripes merged elementwise, entries of ``least`` or more; stored.
 
-    Stripes meet by prefix (and slice); the entries are summed where they have met.
+    Stripes meet by prefix (and slice) and are merged as they come in that order; a task holds one merged stripe.
     """
     keys = ["lang", "prefix", "slice"]
-    met = partial.repartition(*keys).select(*keys, F.explode(F.arrays_zip("next", "n")).alias("entry"))
-    summed = met.groupBy(*keys, F.col("entry.next").alias("next")).agg(F.sum("entry.n").alias("n"))
-    return table(summed.where(F.col("n") >= least).select("lang", "prefix", "next", "n"), "stripes")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                rows = batch if held is None else pa.Table.from_batches([held.cast(batch.schema), batch]).combine_chunks().to_batches()[0]
+                done, held = merged_rows(rows)
+                yield done.filter(pc.greater_equal(done["n"], least))
+        if held is not None:
+            place = pa.array(np.zeros(len(held["next"][0]), dtype=np.int64))
+            columns = [held["lang"].take(place), held["prefix"].take(place), held["next"].flatten(), held["n"].flatten()]
+            done = pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "next", "n"])
+            yield done.filter(pc.greater_equal(done["n"], least))
+
+    met = partial.repartition(*keys).sortWithinPartitions(*keys)
+    return table(met.mapInArrow(merge, "lang string, prefix array<long>, next long, n long"), "stripes")
 
 
 def salted_codes(words: DataFrame) -> tuple[DataFrame, str]:
@@ -284,11 +389,14 @@ def frequent_phrases(
         found = [known.select("lang", F.array("code").alias("phrase"), "n")]
         every = totals.agg(F.sum("n")).first()[0] or 0
         texts = coded(docs, filter_of(found[0], filter_bits), salt)
+        low, high = BUCKET_BITS
+        bits = min(max((every // WORDS_A_BUCKET).bit_length(), low), high)
         for size in range(2, longest + 1):
             # at most HOT_SHARE prefixes
             hot = {(r[0], tuple(r[1])) for r in found[-1].where(F.col("n") * HOT_SHARE > every).select("lang", "phrase").collect()}
             shorter = None if size == 2 else filter_of(found[-1], filter_bits)
-            entries = merged(stripes(texts, size, shorter, hot, chunk), least)
+            likely = likely_phrases(texts, size, shorter, least, bits)
+            entries = merged(stripes(texts, size, shorter, likely, hot, chunk), least)
             found.append(entries.select("lang", F.concat("prefix", F.array("next")).alias("phrase"), "n"))
     phrases = found[0]
     for more in found[1:]:
