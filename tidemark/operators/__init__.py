@@ -9,6 +9,7 @@ from .watermark import (
     combined,
     mark_late,
     policy_setting,
+    time_slot,
     watermark_audit,
     with_watermark,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "partition_local",
     "policy_setting",
     "pre_aggregate",
+    "time_slot",
     "watermark_audit",
     "with_watermark",
 ]

@@ -34,6 +34,19 @@ def with_watermark(df: DataFrame, event_time: str, delay: str) -> DataFrame:
     return df.withWatermark(event_time, delay)
 
 
+def time_slot(event_time: Column, seconds: int) -> Column:
+    """The end of the slot of so many seconds that a time lies in, as event time.
+
+    Under a watermark with a delay of whole slots, rows of one slot are all late or all
+    timely, whatever their own times: the watermark is the end of a slot itself.  So they may be merged
+    ahead of the operator that drops the late ones, with their slot as a key, and nothing
+    that is late hides behind a later row.  A null time has no slot.
+    """
+    size = seconds * 1000
+    start = event_time_ms(event_time) - F.pmod(event_time_ms(event_time), F.lit(size))
+    return F.timestamp_millis(start + size)
+
+
 def policy_setting(policy: str) -> dict[str, str]:
     """Option that chooses the global watermark among several inputs."""
     if policy not in POLICIES:

@@ -6,6 +6,7 @@ from . import (
     log_queries,
     sink_queries,
     state_queries,
+    timeout_queries,
     watermark_queries,
 )
 from .registry import ORACLES, QUERIES
@@ -18,5 +19,6 @@ __all__ = [
     "log_queries",
     "sink_queries",
     "state_queries",
+    "timeout_queries",
     "watermark_queries",
 ]

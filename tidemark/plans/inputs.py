@@ -67,17 +67,21 @@ def arrival_day() -> Column:
 ARRIVAL_DAY_SQL = "case when event_id % 7 = 0 then ts::date + 2 else ts::date end"
 
 
-def arrival_block() -> Column:
-    """Events arrive in blocks of five days, every seventh one block late."""
-    block = F.date_sub(event_day(), F.pmod(F.unix_date(event_day()), F.lit(5)))
+def arrival_block(days: int = 5) -> Column:
+    """Events arrive in blocks of so many days, every seventh one block late."""
+    block = F.date_sub(event_day(), F.pmod(F.unix_date(event_day()), F.lit(days)))
     late = F.col("event_id") % 7 == 0
-    return F.when(late, F.date_add(block, 5)).otherwise(block)
+    return F.when(late, F.date_add(block, days)).otherwise(block)
 
 
-ARRIVAL_BLOCK_SQL = (
-    "(ts::date - ((ts::date - date '1970-01-01') % 5)::int"
-    " + case when event_id % 7 = 0 then 5 else 0 end)::date"
-)
+def arrival_block_sql(days: int = 5) -> str:
+    return (
+        f"(ts::date - ((ts::date - date '1970-01-01') % {days})::int"
+        f" + case when event_id % 7 = 0 then {days} else 0 end)::date"
+    )
+
+
+ARRIVAL_BLOCK_SQL = arrival_block_sql()
 
 
 def first_days_of_decades() -> Column:
@@ -97,6 +101,7 @@ def log_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
     ``days``: one step per day, the first a snapshot, the last not ready;
     ``arrivals``: one step per block of arrival, all ready;
+    ``short_arrivals``: the same with blocks of three days;
     ``decades``: one step per ten days, all ready;
     ``closing``: like ``decades``, plus a last step that is not ready.
     """
@@ -111,6 +116,7 @@ def _write_log(spark: SparkSession, sf_dir: str, kind: str) -> str:
     step = {
         "days": event_day,
         "arrivals": arrival_block,
+        "short_arrivals": lambda: arrival_block(3),
         "decades": first_days_of_decades,
         "closing": first_days_of_decades,
     }[kind]()
