@@ -1,13 +1,15 @@
 """The append sink and the keyed cache."""
 
+import json
 import os
 import random
 from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.session import settings
+from tidemark.session import Files, settings
 from tidemark.streaming.append_sink import (
     AppendSink,
     Ledger,
@@ -24,6 +26,7 @@ from tidemark.streaming.cache import (
     cache_answers,
     cache_changes,
     cache_state,
+    cache_versions,
 )
 
 START = datetime(2024, 1, 1, tzinfo=UTC)
@@ -255,3 +258,75 @@ def test_cache_with_null_keys(spark, folder):
     to.write_batch(commands(spark, [("x", None, "put", 1, 1), ("x", None, "get", None, 2)]), 0)
     to.write_batch(commands(spark, [("x", None, "get", None, 3)]), 1)
     assert {r.seq: r.value for r in cache_answers(spark, folder).collect()} == {2: 1, 3: 1}
+
+
+def _files_of(frame):
+    return sorted(set(x.split("/batch_id=")[1] for x in (f.rsplit("/", 1)[0] for f in frame.inputFiles())))
+
+
+def test_a_batch_for_one_key_reads_one_bucket(spark, folder):
+    to = cache(folder, full_every=3, buckets=8)
+    for number in range(6):
+        rows = [("x", f"k{n}", "put", number, 100 * number + n) for n in range(40)] if number < 5 else [("x", "k7", "get", None, 900)]
+        to.write_batch(commands(spark, rows), number)
+    files = Files(spark, folder)
+    schema = StructType.fromJson(json.loads(files.text(f"{folder}/schema.json")))
+    (bucket,) = {r.bucket for r in spark.createDataFrame([("x", "k7")], "cache string, key string").select(to._bucket().alias("bucket")).collect()}
+    one = cache_versions(spark, folder, 4, schema, [bucket])
+    assert _files_of(one) == [f"2/bucket={bucket}", f"3/bucket={bucket}", f"4/bucket={bucket}"]
+    assert len(_files_of(cache_versions(spark, folder, 4, schema))) == 24
+    assert {r.seq: r.value for r in cache_answers(spark, folder).where("seq = 900").collect()} == {900: 4}
+
+
+def test_only_touched_buckets_get_a_new_base(spark, folder):
+    to = cache(folder, full_every=1, keep=2, buckets=8)
+    to.write_batch(commands(spark, [("x", f"k{n}", "put", n, n) for n in range(40)]), 0)
+    for number in range(1, 5):
+        to.write_batch(commands(spark, [("x", "k7", "remove" if number == 1 else "get", None, 100 + number)]), number)
+    assert sorted(os.listdir(f"{folder}/base")) == ["batch_id=0", "batch_id=1"]
+    assert len([x for x in os.listdir(f"{folder}/base/batch_id=1") if x.startswith("bucket=")]) == 1
+    stored = spark.read.parquet(f"{folder}/base/batch_id=1")
+    assert "k7" not in {r.key for r in stored.collect()} and {r.op for r in stored.collect()} == {"put"}
+    assert {r.key for r in cache_state(spark, folder).collect()} == {f"k{n}" for n in range(40)} - {"k7"}
+    to.write_batch(commands(spark, [("x", f"k{n}", "put", 1, 200 + n) for n in range(40)]), 5)
+    to.write_batch(commands(spark, []), 6)
+    to.write_batch(commands(spark, []), 7)
+    assert sorted(os.listdir(f"{folder}/base")) == ["batch_id=5"]
+    assert sorted(os.listdir(f"{folder}/full")) == ["batch_id=5", "batch_id=6", "batch_id=7"]
+    assert cache_state(spark, folder).count() == 40
+
+
+def test_a_bucket_that_becomes_empty(spark, folder):
+    to = cache(folder, full_every=1, buckets=1)
+    to.write_batch(commands(spark, [("x", "a", "put", 1, 1)]), 0)
+    to.write_batch(commands(spark, [("x", "a", "remove", None, 2)]), 1)
+    to.write_batch(commands(spark, [("x", "a", "get", None, 3)]), 2)
+    assert cache_state(spark, folder).count() == 0 and cache_state(spark, folder, 0).count() == 1
+    assert [r.value for r in cache_answers(spark, folder).collect()] == [None]
+
+
+def test_every_entry_has_its_own_time(spark, folder):
+    def rows(*every):
+        frame = spark.createDataFrame(every, "key string, op string, value long, seq long, second long, ttl long")
+        return frame.withColumn("at", F.timestamp_seconds("second"))
+
+    to = KeyedCache(
+        folder, F.col("key"), F.col("op"), F.col("value"), F.col("seq"), at=F.col("at"), ttl=F.col("ttl"), full_every=1, buckets=4
+    )
+    to.write_batch(rows(*[(k, "put", n, n, 0, ttl) for n, (k, ttl) in enumerate([("a", 10), ("b", 20), ("c", None), ("d", 1000)])]), 0)
+    to.write_batch(rows(("a", "get", None, 10, 9, None), ("b", "get", None, 11, 15, None), ("a", "get", None, 12, 15, None)), 1)
+    # a get that looks back sees no value whose time was up in an earlier batch
+    to.write_batch(rows(("a", "get", None, 20, 5, None), ("c", "get", None, 21, 500, None), ("d", "get", None, 22, 999, None)), 2)
+    answers = {r.seq: r.value for r in cache_answers(spark, folder).collect()}
+    assert answers == {10: 0, 11: 1, 12: None, 20: None, 21: 2, 22: 3}
+    assert [sorted(r.key for r in cache_state(spark, folder, v).collect()) for v in range(3)] == [["a", "b", "c", "d"], ["b", "c", "d"], ["c", "d"]]
+    # only buckets with a value whose time was up were written again
+    where = {r.key: r.bucket for r in spark.createDataFrame([("default", k) for k in "abcd"], "cache string, key string").select("key", to._bucket().alias("bucket")).collect()}
+    assert {x for x in os.listdir(f"{folder}/base/batch_id=1") if x.startswith("bucket=")} <= {f"bucket={where['a']}"}
+    stored = {r.key for n in (1, 2) if os.path.exists(f"{folder}/base/batch_id={n}") for r in spark.read.schema(StructType().add("key", "string")).parquet(f"{folder}/base/batch_id={n}").collect()}
+    assert not stored & {"a", "b"}
+
+
+def test_bucket_settings(folder):
+    with pytest.raises(ValueError, match="buckets"):
+        cache(folder, buckets=0)

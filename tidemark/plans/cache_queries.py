@@ -179,6 +179,40 @@ def cache_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cache_answers(spark, root).select("key", "seq", "value")
 
 
+ENTRY_TTL_SQL = "case when user_id % 5 > 0 then (event_id % 4 + 1) * 10800 end"
+
+
+@query(
+    f"""
+    with commands as (
+        select user_id as key, event_id as seq, ts, {OP_SQL} as op, {ENTRY_TTL_SQL} as ttl from events),
+    seen as (
+        select *, last_value(case when op <> 'get' then seq end ignore nulls) over w as last_change,
+               last_value(case when op <> 'get' then op end ignore nulls) over w as last_op,
+               last_value(case when op <> 'get' then coalesce(epoch_ms(ts) + ttl * 1000, 1e15::bigint) end ignore nulls)
+                   over w as ends_ms
+        from commands
+        window w as (partition by key order by seq
+                     rows between unbounded preceding and 1 preceding)),
+    last as (
+        select key, max(seq) as seq, arg_max(op, seq) as op,
+               arg_max(coalesce(epoch_ms(ts) + ttl * 1000, 1e15::bigint), seq) as ends_ms
+        from commands where op <> 'get' group by key)
+    select 'answer' as kind, key, seq, case when last_op = 'put' and ends_ms > epoch_ms(ts) then last_change end as value
+    from seen where op = 'get'
+    union all
+    select 'left', key, seq, seq from last
+    where op = 'put' and ends_ms > (select max(epoch_ms(ts)) from commands)
+    """
+)
+def cache_entry_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value has its own time to live, or none: what gets see, and what is left at the end."""
+    ttl = F.when(F.col("user_id") % 5 > 0, (F.col("event_id") % 4 + 1) * 10800)
+    root = _run(spark, sf_dir, at=F.date_trunc("millisecond", "ts"), ttl=ttl)
+    left = cache_state(spark, root).select(F.lit("left").alias("kind"), "key", "seq", "value")
+    return cache_answers(spark, root).select(F.lit("answer").alias("kind"), "key", "seq", "value").unionByName(left)
+
+
 @query(
     f"""
     with changes as (

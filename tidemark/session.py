@@ -76,6 +76,7 @@ class Files:
     def __init__(self, spark: SparkSession, root: str):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
         self._fs = self._path(root).getFileSystem(self._conf)
 
     def qualified(self, path: str) -> str:
@@ -96,6 +97,14 @@ class Files:
         found = (s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
         return sorted(name for name in found if not name.startswith("."))
 
+    def text(self, path: str) -> str:
+        """A small file as a whole."""
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def size(self, path: str) -> int:
         return self._fs.getContentSummary(self._path(path)).getLength()
 
