@@ -330,3 +330,11 @@ def test_every_entry_has_its_own_time(spark, folder):
 def test_bucket_settings(folder):
     with pytest.raises(ValueError, match="buckets"):
         cache(folder, buckets=0)
+
+
+def test_the_number_of_buckets_is_settled_by_the_first_batch(spark, folder):
+    cache(folder, buckets=3).write_batch(commands(spark, [("x", "a", "put", 1, 1)]), 0)
+    cache(folder).write_batch(commands(spark, [("x", "a", "get", None, 2)]), 1)
+    assert [r.value for r in cache_answers(spark, folder).collect()] == [1]
+    with pytest.raises(ValueError, match="3 buckets, not 5"):
+        cache(folder, buckets=5).write_batch(commands(spark, [("x", "a", "get", None, 3)]), 2)

@@ -30,7 +30,11 @@ needs to know of the earlier ones is one value per slice.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from concurrent.futures import Future
+from threading import Thread
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -52,7 +56,8 @@ class KeyedCache:
     seconds, null for values that stay.  Time is what commands tell: a get sees what is alive at its own
     ``at``, and a value whose time was up by the largest ``at`` of an earlier batch is gone.
 
-    ``buckets`` is fixed for the life of a cache; a bucket's values should fit a file.
+    ``buckets`` is fixed by the first batch of a cache, by default as the number of shuffle partitions; a
+    bucket's values should fit a file.
     """
 
     def __init__(
@@ -67,7 +72,7 @@ class KeyedCache:
         ttl: str | Column | None = None,
         full_every: int = 10,
         keep: int = 100,
-        buckets: int = 16,
+        buckets: int | None = None,
     ):
         if (ttl is None) != (at is None):
             raise ValueError("ttl and at belong together")
@@ -75,7 +80,7 @@ class KeyedCache:
             raise ValueError("full_every must be positive")
         if keep < 1:
             raise ValueError("keep must be positive")
-        if buckets < 1:
+        if buckets is not None and buckets < 1:
             raise ValueError("buckets must be positive")
         self.root = root.rstrip("/")
         self._columns = [
@@ -99,10 +104,15 @@ class KeyedCache:
         spark = commands.sparkSession
         files = Files(spark, self.root)
         files.delete(f"{self.root}/full/batch_id={batch_id}")  # of an attempt that is repeated
+        self._settle(spark, files)
         staged = self._staged(commands, batch_id)
         schema = _change_schema(staged)
         if not files.exists(f"{self.root}/schema.json"):
             files.put(f"{self.root}/schema.json", schema.json())
+        changes = self._changes(staged).repartition("bucket")
+        writing = _start(
+            spark, lambda: changes.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/changes/batch_id={batch_id}")
+        )
         # One row per bucket: where commands ask, and where they change something.
         met = staged.groupBy("bucket").agg(
             F.max(F.col("op") == "get").alias("asks"),
@@ -112,10 +122,9 @@ class KeyedCache:
         clock = _clock(files, self.root, batch_id - 1)
         asked = [r["bucket"] for r in met if r["asks"]]
         before = _alive(cache_versions(spark, self.root, batch_id - 1, schema, asked), clock)
-        changes = self._changes(staged).repartition("bucket")
-        changes.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/changes/batch_id={batch_id}")
         answers = self._answers(staged, before)
         answers.write.mode("overwrite").parquet(f"{self.root}/answers/batch_id={batch_id}")
+        writing.result()
         reached = max((r["at"] for r in met if r["at"] is not None), default=None)
         note = {
             "buckets": sorted(r["bucket"] for r in met if r["changes"]),
@@ -128,6 +137,16 @@ class KeyedCache:
             self._forget(files, batch_id - self._keep)
         files.delete(f"{self.root}/staged/batch_id={batch_id}")
 
+    def _settle(self, spark: SparkSession, files: Files) -> None:
+        """The number of buckets, as the cache's first batch had it."""
+        path = f"{self.root}/buckets.json"
+        if not files.exists(path):
+            files.put(path, json.dumps(self._buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        stored = json.loads(files.text(path))
+        if self._buckets not in (None, stored):
+            raise ValueError(f"the cache has {stored} buckets, not {self._buckets}")
+        self._buckets = stored
+
     def _compact(self, spark: SparkSession, files: Files, batch_id: int, schema: StructType, clock: int | None) -> None:
         """New bases for the buckets changed since their last one, or with values whose time is up."""
         last, bases = _bases(files, self.root, batch_id - 1)
@@ -166,6 +185,8 @@ class KeyedCache:
                 files.delete(f"{self.root}/base/batch_id={n}")
 
     def _bucket(self) -> Column:
+        if self._buckets is None:
+            raise ValueError("the number of buckets isn't settled before the first batch")
         return F.pmod(F.xxhash64("cache", "key"), F.lit(self._buckets)).cast("int")
 
     def _staged(self, commands: DataFrame, batch_id: int) -> DataFrame:
@@ -177,7 +198,7 @@ class KeyedCache:
         known = F.col("op").isin(*OPERATIONS)
         problem = F.raise_error(F.concat(F.lit("unknown cache operation: "), "op"))
         expires = F.col("at") + F.make_dt_interval(secs=F.col("ttl").cast("decimal(18,6)"))
-        (
+        staged = (
             commands.select(*self._columns)
             .withColumn("op", F.when(known, F.col("op")).otherwise(problem))
             .withColumn("expires_at", expires)
@@ -185,10 +206,9 @@ class KeyedCache:
             .withColumn("bucket", self._bucket())
             .repartitionByRange("cache", "key", "seq")
             .withColumn("slice", F.spark_partition_id())
-            .write.mode("overwrite")
-            .parquet(path)
         )
-        return commands.sparkSession.read.parquet(path)
+        staged.write.mode("overwrite").parquet(path)
+        return commands.sparkSession.read.schema(staged.schema).parquet(path)
 
     def _changes(self, staged: DataFrame) -> DataFrame:
         """Last put or removal per key; none for keys with an abort."""
@@ -292,6 +312,20 @@ def cache_versions(
     )
 
 
+def _start(spark: SparkSession, write: Callable[[], None]) -> Future:
+    """Run a write beside what follows; ``result()`` waits for it and raises its error."""
+    done: Future = Future()
+
+    def run() -> None:
+        try:
+            done.set_result(write())
+        except BaseException as error:
+            done.set_exception(error)
+
+    Thread(target=inheritable_thread_target(spark)(run), daemon=True).start()
+    return done
+
+
 def _alive(rows: DataFrame, clock: int | None) -> DataFrame:
     """``rows`` without values whose time was up at ``clock`` (milliseconds)."""
     if clock is None:
