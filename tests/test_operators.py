@@ -2,6 +2,7 @@
 
 import os
 import sys
+from datetime import datetime
 
 import pandas as pd
 import pytest
@@ -28,6 +29,7 @@ from tidemark.operators import (
     partition_local,
     pre_aggregate,
     watermark_audit,
+    time_slot,
     with_watermark,
 )
 from tidemark.session import settings, state_settings
@@ -243,3 +245,12 @@ def test_map_partitions_and_hook(spark, folder):
     with pytest.raises(Exception, match="stop here"):
         map_partitions(df.limit(2), failing, "id long", hook).collect()
     assert "0-False" in os.listdir(folder)
+
+
+def test_time_slots_are_late_as_a_whole(spark):
+    times = [datetime(2024, 1, 1, 5, 59, 59, 999_000), datetime(2024, 1, 1, 6), datetime(1969, 12, 31, 23, 30), None]
+    frame = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    got = [r.slot for r in frame.select(F.unix_millis(time_slot(F.col("ts"), 3600)).alias("slot")).collect()]
+    hour = 3_600_000
+    first = 1_704_067_200_000  # 2024-01-01
+    assert got == [first + 6 * hour, first + 7 * hour, 0, None]

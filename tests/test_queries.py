@@ -11,16 +11,21 @@ DATA = "/root/testdata/sf0.001"
 FAST = [
     "batchlog_range",
     "batchlog_partitions",
+    "batchlog_steps",
     "batchlog_set_changes",
     "batchlog_tables_new",
     "batchlog_tables_set",
     "cache_abort",
+    "cache_entry_timeout",
     "flatmap_batch",
     "group_by_computed_key",
+    "late_rows_dropped",
     "ledger_retention",
     "map_partitions_projection",
     "output_expiry",
     "partition_local_groups",
+    "state_lifecycle_timeout",
+    "timeout_batches",
     "watermark_audit_daily",
     "watermark_combined",
 ]

@@ -100,6 +100,7 @@ def log_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Derive a log of text lines from ``events``, once per session and kind.
 
     ``days``: one step per day, the first a snapshot, the last not ready;
+    ``ready_days``: one step per day, all ready, none a snapshot;
     ``arrivals``: one step per block of arrival, all ready;
     ``short_arrivals``: the same with blocks of three days;
     ``decades``: one step per ten days, all ready;
@@ -115,6 +116,7 @@ def _write_log(spark: SparkSession, sf_dir: str, kind: str) -> str:
     root = new_folder(spark, f"log-{kind}")
     step = {
         "days": event_day,
+        "ready_days": event_day,
         "arrivals": arrival_block,
         "short_arrivals": lambda: arrival_block(3),
         "decades": first_days_of_decades,

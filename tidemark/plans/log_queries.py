@@ -59,16 +59,16 @@ def batchlog_native_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""
+    """
     select row_number() over (order by ts::date) - 1 as step,
            epoch_ms(ts::date::timestamp) as day_ms, count(*) as n
-    from events where ts::date < {LAST} group by ts::date
+    from events group by ts::date
     """
 )
 def batchlog_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One step per micro-batch: which batch brought which day."""
     out = new_folder(spark, "out")
-    run_steps(into_table(log_stream(spark, sf_dir, "days"), out), new_folder(spark, "checkpoint"))
+    run_steps(into_table(log_stream(spark, sf_dir, "ready_days"), out), new_folder(spark, "checkpoint"))
     line_time = F.timestamp_micros(F.split("value", r"\|")[3].cast("long"))
     return (
         spark.read.parquet(out)
@@ -81,14 +81,14 @@ def batchlog_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""
+    """
     select epoch_ms(ts::date::timestamp) as day_ms, (event_id % 3)::int as part, count(*) as n
-    from events where ts::date < {LAST} group by all
+    from events group by all
     """
 )
 def batchlog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per entry and entry partition."""
-    root = log_folder(spark, sf_dir, "days")
+    root = log_folder(spark, sf_dir, "ready_days")
     rows = read_batch_log(
         spark, read_manifest(spark, f"{root}/manifest"), with_partition=True
     )

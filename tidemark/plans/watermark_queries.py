@@ -88,12 +88,9 @@ def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = with_watermark(
         parsed(log_stream(spark, sf_dir, "arrivals")), "ts", f"{DELAY_HOURS} hours"
     )
-    # Nothing is kept per key here, so the groups are made even, some per task.
-    groups = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    group = F.pmod(F.hash("event_id"), F.lit(groups))
     kept = flat_map_groups(
-        stream.select(group.alias("group"), "event_id", "ts"),
-        ["group"],
+        stream.select("user_id", "event_id", "ts"),
+        ["user_id"],
         keep,
         "event_id long",
         "n long",
