@@ -13,6 +13,8 @@ from ..streaming.append_sink import (
     AppendSink,
     appended,
     compact,
+    compact_new,
+    compacted,
     expire,
     flag_batches,
     ledger_table,
@@ -129,6 +131,30 @@ def append_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""
+    with routed as ({ROUTED_SQL.replace("event_type as out_path", "event_id, event_type as out_path")})
+    select case when batch_id <= 1 then 0 else 2 end::bigint as generation, out_path, value,
+           row_number() over (partition by out_path order by batch_id, event_id) - 1 as line
+    from routed
+    """
+)
+def append_compact_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compacted after the second batch and at the end, each time what is new; every line's place."""
+    root, target = new_folder(spark, "sink"), new_folder(spark, "compact")
+    sink = _sink(root)
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        sink.write_batch(rows, batch_id)
+        if batch_id == 1:
+            compact_new(spark, root, target)
+
+    stream = _rows(spark, sf_dir)
+    run_steps(stream.writeStream.foreachBatch(batch), new_folder(spark, "checkpoint"))
+    compact_new(spark, root, target)
+    return compacted(spark, target)
+
+
 @query(
     f"""
     with batches as (select distinct {DECADE_SQL} as step from events),

@@ -9,7 +9,11 @@ Layout under the sink's root::
 A batch folder is written as a whole.  A batch with a done row is skipped, one
 with only a start row is written again in place of the failed attempt, so every
 row is there once whatever was repeated.  The text of a path is the text of its
-batches in order; ``compact`` puts it into few files.
+batches in order; ``compact`` puts all of it into few files, ``compact_new`` adds what
+came since the last time as a generation::
+
+    data/generation=N/out_path=P/part-*.txt  the text of batches N to M for path P
+    switch/N                                 the record that puts it in force
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from datetime import UTC, datetime, timedelta
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,10 +150,8 @@ def appended(spark: SparkSession, root: str) -> DataFrame:
     all records had theirs purged, so they were done.
     """
     schema = "value string, batch_id long, out_path string"
-    paths = [f"{root}/data/batch_id={n}" for n in finished(spark, root)]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", f"{root}/data").text(paths, lineSep="\n")
+    batches = finished(spark, root)
+    return _batches(spark, root, batches) if batches else spark.createDataFrame([], schema)
 
 
 def finished(spark: SparkSession, root: str) -> list[int]:
@@ -170,31 +173,127 @@ def compact(spark: SparkSession, root: str, target: str, file_bytes: int = FILE_
     file, or two where a range ends inside it, a large one becomes several whose
     names sort in the order of their lines.
     """
-    files = Files(spark, root)
-    size = sum(files.size(f"{root}/data/batch_id={n}") for n in finished(spark, root))
-    partitions = max(1, -(-size // file_bytes))
-    position = ["batch_id", "file", "block", "line"]
-    lines = appended(spark, root).select(
-        "out_path",
-        "value",
-        "batch_id",
+    batches = finished(spark, root)
+    _store(_placed(appended(spark, root)), _size(spark, root, batches), target, file_bytes)
+
+
+def compact_new(
+    spark: SparkSession,
+    root: str,
+    target: str,
+    file_bytes: int = FILE_BYTES,
+    together: str = "1.00:00:00",
+) -> list[int]:
+    """Add the batches that finished since the last call to ``target``; new generations.
+
+    What was compacted before is neither read nor written.  A generation is a run of
+    batches, is named after the first of them, and counts from the moment its switch
+    record is there; an attempt that failed before is written again as a whole.
+    Batches are in one generation if they expire in the same stretch of ``together``, so
+    expired text stays for that long at most.  One call at a time may work on a target.
+    """
+    files = Files(spark, target)
+    mark = max((record["last"] for record in _switches(files, target)), default=-1)
+    fresh = [n for n in finished(spark, root) if n > mark]
+    # One row per batch.
+    rows = ledger_table(spark, root).filter((F.col("status") == "expiry") & (F.col("batch_id") > mark))
+    until = {row.batch_id: row.s for row in rows.select("batch_id", F.col("expires_at").cast("double").alias("s")).collect()}
+    stretch = duration_seconds(together)
+    added = []
+    for _, run in groupby(fresh, lambda n: until[n] // stretch if n in until else None):
+        batches = list(run)
+        first, last = batches[0], batches[-1]
+        folder = f"{target}/data/generation={first}"
+        files.delete(folder)
+        filled = [n for n in batches if _has_rows(files, f"{root}/data/batch_id={n}")]
+        if filled:
+            _store(_placed(_batches(spark, root, filled)), _size(spark, root, filled), folder, file_bytes)
+        expires = max(until[n] for n in batches) if first in until else None
+        _switch(files, target, {"first": first, "last": last, "expires": expires, "gone": False})
+        added.append(first)
+    return added
+
+
+def compacted(spark: SparkSession, target: str) -> DataFrame:
+    """The text that ``compact_new`` gathered: ``generation``, ``out_path``, ``line``, ``value``.
+
+    ``line`` counts the lines of a path from 0, in the order they were appended.
+    """
+    files = Files(spark, target)
+    folders = [f"{target}/data/generation={r['first']}" for r in _switches(files, target) if not r["gone"]]
+    folders = [folder for folder in folders if _has_rows(files, folder)]
+    if not folders:
+        return spark.createDataFrame([], "generation long, out_path string, line long, value string")
+    schema = "value string, generation long, out_path string"
+    text = spark.read.schema(schema).option("basePath", f"{target}/data").text(folders, lineSep="\n")
+    lines = _placed(text)
+    # A block is one task's work when it is read; there are few of them to a path.
+    block = ["out_path", "generation", "file", "block"]
+    ahead = Window.partitionBy("out_path").orderBy(*block[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy(*block).agg(F.count("*").alias("n"))
+    starts = blocks.select(*block, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+    within = F.col("line") - F.min("line").over(Window.partitionBy(*block))
+    return (
+        lines.withColumn("within", within)
+        .join(starts, block)
+        .select("generation", "out_path", (F.col("start") + F.col("within")).alias("line"), "value")
+    )
+
+
+def _batches(spark: SparkSession, root: str, batches: list[int]) -> DataFrame:
+    schema = "value string, batch_id long, out_path string"
+    paths = [f"{root}/data/batch_id={n}" for n in batches]
+    return spark.read.schema(schema).option("basePath", f"{root}/data").text(paths, lineSep="\n")
+
+
+def _placed(text: DataFrame) -> DataFrame:
+    """Lines with their place: the folder's columns, then ``file``, ``block`` and ``line``."""
+    return text.select(
+        *text.columns,
         F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         # Increases along the lines of one file block, which is one task's work.
         F.monotonically_increasing_id().alias("line"),
     )
+
+
+def _store(lines: DataFrame, size: int, folder: str, file_bytes: int) -> None:
+    """Write the text of each path in order, as files of about ``file_bytes``."""
+    place = ["out_path", "batch_id", "file", "block", "line"]
     (
-        lines.repartitionByRange(partitions, "out_path", *position)
-        .sortWithinPartitions("out_path", *position)
+        lines.repartitionByRange(max(1, -(-size // file_bytes)), *place)
+        .sortWithinPartitions(*place)
         .select("out_path", "value")
         .write.mode("overwrite")
         .partitionBy("out_path")
-        .text(target)
+        .text(folder)
     )
 
 
-def expire(spark: SparkSession, root: str, now: datetime) -> list[int]:
-    """Delete the batches whose expiry has passed, data before ledger rows."""
+def _size(spark: SparkSession, root: str, batches: list[int]) -> int:
+    files = Files(spark, root)
+    return sum(files.size(f"{root}/data/batch_id={n}") for n in batches)
+
+
+def _has_rows(files: Files, folder: str) -> bool:
+    return any(name.startswith("out_path=") for name in files.names(folder))
+
+
+def _switches(files: Files, target: str) -> list[dict]:
+    """Records of the generations, one small file each, in order."""
+    names = [name for name in files.names(f"{target}/switch") if name.isdigit()]
+    return [json.loads(files.text(f"{target}/switch/{name}")) for name in sorted(names, key=int)]
+
+
+def _switch(files: Files, target: str, record: dict) -> None:
+    files.put(f"{target}/switch/{record['first']}", json.dumps(record))
+
+
+def expire(spark: SparkSession, root: str, now: datetime, target: str | None = None) -> list[int]:
+    """Delete the batches whose expiry has passed, data before ledger rows.
+
+    With the ``target`` of ``compact_new`` also the generations all of whose batches expired.
+    """
     ledger = ledger_table(spark, root)
     moment = F.lit(now.isoformat()).cast("timestamp")
     # One row per batch.
@@ -204,9 +303,27 @@ def expire(spark: SparkSession, root: str, now: datetime) -> list[int]:
     for batch_id in batches:
         files.delete(f"{root}/data/batch_id={batch_id}")
         records.drop(batch_id)
+    if target is not None:
+        _expire_generations(Files(spark, target), target, now.timestamp())
     return batches
 
 
+def _expire_generations(files: Files, target: str, now: float) -> None:
+    """Generations go out of force first, then their data goes.
+
+    The newest record stays, as it says how far the compaction came.
+    """
+    switches = _switches(files, target)
+    for record in switches:
+        if not record["gone"] and (record["expires"] is None or record["expires"] > now):
+            continue
+        if not record["gone"]:
+            _switch(files, target, record | {"gone": True})
+        files.delete(f"{target}/data/generation={record['first']}")
+        if record is not switches[-1]:
+            files.delete(f"{target}/switch/{record['first']}")
+
+
 def flag_batches(names: DataFrame, name: str) -> DataFrame:
     """Distinct batch ids of flag names; names of another form are ignored."""
     flags = names.filter(is_flag_name(F.col(name)))
