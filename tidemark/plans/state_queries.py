@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import flat_map_groups
 from ..session import new_folder, settings, state_settings
-from ..streaming import checkpoints
+from ..streaming import checkpoints, progress
 from ..streaming.running import into_table, run_steps
 from .group_queries import _add_counts, _user_counts
 from .inputs import DECADE_SQL, log_stream, parsed
@@ -101,9 +101,12 @@ def state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def state_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys in the state and keys written, per batch."""
-    _, done = _counted(spark, sf_dir)
-    metrics = checkpoints.state_metrics(spark, done)
-    return metrics.select("batch_id", "rows_updated", "rows_total")
+    root = new_folder(spark, "reports")
+    with progress.recorded(spark, root) as table:
+        _, done = _counted(spark, sf_dir)
+        table.wait(done)
+    kept = progress.metrics(spark, root)
+    return kept.select("batch_id", "rows_updated", "rows_total")
 
 
 @query(
