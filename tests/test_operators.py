@@ -22,9 +22,12 @@ from tidemark.functions.scalars import duration_seconds
 from tidemark.operators import (
     SINGLE_WATERMARK,
     combined,
+    committed,
     flat_map_groups,
+    fold_groups,
     map_groups,
     map_partitions,
+    map_partitions_summed,
     mark_late,
     partition_local,
     pre_aggregate,
@@ -254,3 +257,79 @@ def test_time_slots_are_late_as_a_whole(spark):
     hour = 3_600_000
     first = 1_704_067_200_000  # 2024-01-01
     assert got == [first + 6 * hour, first + 7 * hour, 0, None]
+
+
+@pytest.mark.parametrize("held", [1, 3, 100_000])
+def test_fold_groups_is_the_same_for_any_bound(spark, held):
+    rows = [(i % 7 if i % 5 else None, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, v long").repartition(5)
+
+    def update(key, chunk, state):
+        n, total = len(chunk), int(chunk["v"].sum())
+        return (n, total) if state is None else (state[0] + n, state[1] + total)
+
+    found = fold_groups(
+        df,
+        ["k"],
+        "n long, total long",
+        update,
+        lambda key, a, b: (a[0] + b[0], a[1] + b[1]),
+        lambda key, state: [(key[0], *state)],
+        "k int, n long, total long",
+        held_groups=held,
+        chunk_rows=10,
+    )
+    want = {}
+    for k, v in rows:
+        n, total = want.get(k, (0, 0))
+        want[k] = (n + 1, total + v)
+    got = found.collect()
+    assert len(got) == len(want)
+    assert {r.k: (r.n, r.total) for r in got} == want
+
+
+def test_fold_groups_zeros_nan_and_no_rows(spark):
+    def fold(df):
+        return fold_groups(
+            df,
+            ["x"],
+            "n long",
+            lambda key, chunk, state: ((state or (0,))[0] + len(chunk),),
+            lambda key, a, b: (a[0] + b[0],),
+            lambda key, state: [(str(key[0]), state[0])],
+            "x string, n long",
+        )
+
+    values = [0.0, -0.0, float("nan"), float("nan"), None, None, 1.5]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    assert sorted((r.x.lower(), r.n) for r in fold(df).collect()) == [("0.0", 2), ("1.5", 1), ("nan", 2), ("none", 2)]
+    assert fold(df.filter("false")).collect() == []
+
+
+def _counted(chunks, totals):
+    totals["n"] = 0
+    for chunk in chunks:
+        totals["n"] += len(chunk)
+        yield chunk
+
+
+def test_summary_of_each_partition(spark):
+    df = spark.range(100, numPartitions=4).filter("id >= 25")
+    rows = map_partitions_summed(df, _counted, "id long", "n long").collect()
+    assert sorted(r.id for r in rows if not r.is_summary) == list(range(25, 100))
+    ends = sorted((r.partition, r.n) for r in rows if r.is_summary)
+    assert ends == [(0, None), (1, 25), (2, 25), (3, 25)]
+    with pytest.raises(ValueError, match="must differ"):
+        map_partitions_summed(df, _counted, "id long", "ID long")
+
+
+def test_repeated_attempts_count_once(spark, folder):
+    df = spark.range(40, numPartitions=2)
+    summed = map_partitions_summed(df, _counted, "id long", "n long")
+    summed.write.parquet(f"{folder}/once")
+    once = spark.read.parquet(f"{folder}/once")
+    lost = once.filter("not is_summary and partition = 1 and id < 25").withColumn("attempt", F.col("attempt") + 1000)
+    again = once.filter("partition = 0").withColumn("attempt", F.col("attempt") + 1000)
+    kept = committed(once.unionByName(lost).unionByName(again))
+    assert sorted(r.id for r in kept.filter("not is_summary").collect()) == list(range(40))
+    assert kept.filter("is_summary").agg(F.sum("n")).first()[0] == 40

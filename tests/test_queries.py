@@ -9,6 +9,10 @@ from tidemark.plans import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 FAST = [
+    "append_compact",
+    "append_compact_twice",
+    "append_expired",
+    "append_replay",
     "batchlog_range",
     "batchlog_partitions",
     "batchlog_steps",
@@ -23,8 +27,10 @@ FAST = [
     "ledger_retention",
     "map_partitions_projection",
     "output_expiry",
+    "partition_hook",
     "partition_local_groups",
     "state_lifecycle_timeout",
+    "state_metrics",
     "timeout_batches",
     "watermark_audit_daily",
     "watermark_combined",

@@ -9,11 +9,14 @@ from typing import Any
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .frames import arrow_schema, plain_key, session_zone, to_frame
 
 Update = Callable[[tuple, pd.DataFrame, Any], Any]
 Finish = Callable[[tuple, Any], list[tuple]]
+Merge = Callable[[tuple, tuple, tuple], tuple]
+OUTPUT_ROWS = 10_000
 
 
 def partition_local(
@@ -61,6 +64,79 @@ def partition_local(
     return df.mapInArrow(run, output)
 
 
+def fold_groups(
+    df: DataFrame,
+    keys: list[str],
+    state: str,
+    update: Update,
+    merge: Merge,
+    finish: Finish,
+    output: str,
+    held_groups: int = 100_000,
+    chunk_rows: int = 200_000,
+) -> DataFrame:
+    """Fold the rows of each key: in the partitions first, then across them.
+
+    ``update(key, rows, state)`` and ``finish(key, state)`` are those of
+    ``partition_local``; a state is a tuple of the columns ``state``, and
+    ``merge(key, a, b)`` joins two of them.  A task holds about ``held_groups`` states
+    at a time and sends on what it has beyond that, so only states are shuffled, memory is bounded and
+    the result doesn't depend on the bound.  After the shuffle equal keys follow each
+    other and one state is held.  Nulls in a key are one group, and so are NaN and both zeros.
+    """
+    # pandas takes NaN for null and tells zeros apart by their bits: a column says which is NaN.
+    floats = [key for key in keys if df.schema[key].dataType.typeName() in ("float", "double")]
+    flags = [f"is_nan_{i}_{len(df.columns)}" for i in range(len(floats))]
+    kept = df
+    for key, flag in zip(floats, flags):
+        kind = df.schema[key].dataType
+        zero = F.col(f"`{key}`") + F.lit(0).cast(kind)
+        kept = kept.withColumn(flag, F.isnan(f"`{key}`")).withColumn(key, F.when(~F.isnan(f"`{key}`"), zero))
+
+    def own(key: tuple) -> tuple:
+        """A key as it was in ``df``."""
+        nan = {floats[i] for i in range(len(floats)) if key[len(keys) + i]}
+        return tuple(float("nan") if name in nan else value for name, value in zip(keys, key))
+
+    names = [*keys, *flags]
+    kinds = [f"`{name}` {kept.schema[name].dataType.simpleString()}" for name in names]
+    partial = partition_local(
+        kept,
+        names,
+        lambda key, rows, held: update(own(key), rows[df.columns], held),
+        lambda key, held: [(*key, *held)],
+        ", ".join([*kinds, state]),
+        max_groups=held_groups,
+        chunk_rows=chunk_rows,
+    )
+    by = [F.col(f"`{name}`") for name in names]
+    schema, width = arrow_schema(output), len(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def written(rows: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)]
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+        key, held, out = None, None, []
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if key == row[:width]:
+                    held = merge(own(key), held, row[width:])
+                    continue
+                if key is not None:
+                    out += finish(own(key), held)
+                key, held = row[:width], row[width:]
+                if len(out) >= OUTPUT_ROWS:
+                    yield written(out)
+                    out = []
+        if key is not None:
+            out += finish(own(key), held)
+        if out:
+            yield written(out)
+
+    return partial.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, output)
+
+
 def _chunks(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
     """Larger chunks, so that a key costs one call per chunk and not per batch."""
     held: list[pd.DataFrame] = []

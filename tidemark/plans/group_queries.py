@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     flat_map_groups,
+    fold_groups,
     group_by_key,
     map_groups,
     map_partitions,
-    partition_local,
+    map_partitions_summed,
     pre_aggregate,
     with_watermark,
 )
@@ -321,18 +322,17 @@ def partition_local_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     def finish(key, state):
         return [(key[0], *state)]
 
-    local = partition_local(
+    def merge(key, a, b):
+        return a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])
+
+    return fold_groups(
         events(spark, sf_dir).select("user_id", "event_id"),
         ["user_id"],
+        "n long, first_id long, last_id long",
         update,
+        merge,
         finish,
         "user_id long, n long, first_id long, last_id long",
-        max_groups=100_000,
-    )
-    return local.groupBy("user_id").agg(
-        F.sum("n").alias("n"),
-        F.min("first_id").alias("first_id"),
-        F.max("last_id").alias("last_id"),
     )
 
 
@@ -356,20 +356,21 @@ def map_partitions_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select count(*) as n, 0 as failed from events having count(*) > 0")
 def partition_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that partitions had produced when their end-of-task hook ran."""
-    rows_done = spark.sparkContext.accumulator(0)
-    failed = spark.sparkContext.accumulator(0)
+    """Rows that partitions had produced by their own count when they ended, and how many
+    partitions have no count at their end or another one than there are rows."""
 
-    def count(chunks):
+    def count(chunks, totals):
+        totals["produced"] = 0
         for chunk in chunks:
-            rows_done.add(len(chunk))
+            totals["produced"] += len(chunk)
             yield chunk
 
-    def hook(partition: int, finished: bool) -> None:
-        if not finished:
-            failed.add(1)
-
     rows = events(spark, sf_dir).select("event_id")
-    done = map_partitions(rows, count, "event_id long", hook)
-    done.write.mode("overwrite").parquet(new_folder(spark, "out"))
-    return spark.createDataFrame([(rows_done.value, failed.value)], "n long, failed int")
+    done = map_partitions_summed(rows, count, "event_id long", "produced long")
+    parts = done.groupBy("partition", "attempt").agg(
+        F.count_if(~F.col("is_summary")).alias("n"), F.sum("produced").alias("produced")
+    )
+    return parts.agg(
+        F.sum("produced").alias("n"),
+        F.count_if(F.col("n") != F.coalesce("produced", F.lit(0))).cast("int").alias("failed"),
+    )
