@@ -98,12 +98,12 @@ def fold_groups(
         nan = {floats[i] for i in range(len(floats)) if key[len(keys) + i]}
         return tuple(float("nan") if name in nan else value for name, value in zip(keys, key))
 
-    names = [*keys, *flags]
+    names, columns = [*keys, *flags], df.columns
     kinds = [f"`{name}` {kept.schema[name].dataType.simpleString()}" for name in names]
     partial = partition_local(
         kept,
         names,
-        lambda key, rows, held: update(own(key), rows[df.columns], held),
+        lambda key, rows, held: update(own(key), rows[columns], held),
         lambda key, held: [(*key, *held)],
         ", ".join([*kinds, state]),
         max_groups=held_groups,
@@ -114,8 +114,8 @@ def fold_groups(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def written(rows: list[tuple]) -> pa.RecordBatch:
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)]
-            return pa.RecordBatch.from_arrays(columns, schema=schema)
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         key, held, out = None, None, []
         for batch in batches:
