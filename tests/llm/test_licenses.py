@@ -2,6 +2,7 @@ import re
 
 import pytest
 
+from tidemark.llm import licenses
 from tidemark.llm.licenses import Automaton, Template, scan_licenses, words_of
 
 TEXTS = [
@@ -71,3 +72,39 @@ def test_regions(text, good):
 def test_a_template_needs_a_first_word():
     with pytest.raises(ValueError):
         Automaton([Template("t", 1.0, "{1-2} a")])
+
+
+def plain(*parts, name="the copyright holders"):
+    """License wording as a text: optional regions left out, replaceable ones filled with a name."""
+    return re.sub(r"\{\d+-\d+\}", name, re.sub(r"\[[^\]]*\]", "", " ".join(parts)))
+
+
+MIT = (licenses.MIT_GRANT, licenses.MIT_NOTICE, licenses.MIT_WARRANTY)
+BSD = (licenses.BSD_GRANT, licenses.BSD_SOURCE, licenses.BSD_BINARY)
+EVIL = "The Software shall be used for Good, not Evil."
+
+
+@pytest.mark.parametrize(
+    "text, label, score",
+    [
+        (plain(*MIT), "mit-text", 1.0),
+        (plain(*MIT[:2], EVIL, MIT[2]), "mit-opening", 0.6),
+        (plain(*MIT[:2], EVIL), "mit-opening", 0.6),
+        (plain(*MIT).replace("noninfringement", "infringement"), "mit-opening", 0.6),
+        (plain(*BSD, licenses.BSD_DISCLAIMER), "bsd-2-clause-text", 1.0),
+        (plain(*BSD, licenses.BSD_NAMES, licenses.BSD_DISCLAIMER), "bsd-3-clause-text", 1.0),
+        (plain(*BSD, licenses.BSD_ADVERTISING, licenses.BSD_NAMES, licenses.BSD_DISCLAIMER), "bsd-4-clause-text", 1.0),
+        (plain(licenses.BSD_GRANT, "you pay 100 euro"), "bsd-opening", 0.6),
+        (plain(licenses.APACHE_OPENING, licenses.APACHE_REST), "apache-2.0-text", 1.0),
+        (plain(licenses.APACHE_OPENING, "unless required by law"), "apache-2.0-notice", 0.8),
+        ("This program is " + plain(licenses.GPL_OPENING, "either version 3", licenses.GPL_REST), "gpl-3.0-text", 1.0),
+        (plain(licenses.GPL_OPENING, "either version 2", licenses.GPL_REST), "gpl-2.0-text", 1.0),
+        (plain(licenses.GPL_OPENING, "unless you are a company"), "gpl-opening", 0.6),
+    ],
+)
+def test_whole_texts_and_altered_ones(text, label, score):
+    automaton = Automaton(licenses.TEMPLATES)
+    found = {licenses.TEMPLATES[t] for t, _ in automaton.matches(words_of("/* " + text.upper() + " */ int main"))}
+    assert max(t.weight for t in found) == score
+    assert label in {t.label for t in found}
+    assert score == 1.0 or not any(t.label.endswith("-text") for t in found)

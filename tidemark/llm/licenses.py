@@ -31,38 +31,97 @@ BASE = [
     Template("gpl", 0.5, "general public license"),
 ]
 
-#: Wording of common notices and license texts.
+# Wording of common license texts, in the parts that several have in common.
+MIT_GRANT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+    "associated documentation files the software to deal in the software without restriction including "
+    "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+    "copies of the software and to permit persons to whom the software is furnished to do so subject to "
+    "the following conditions"
+)
+MIT_NOTICE = (
+    "the above copyright notice and this permission notice [including the next paragraph] shall be "
+    "included in all copies or substantial portions of the software"
+)
+MIT_WARRANTY = (
+    "the software is provided as is without warranty of any kind express or implied including but not "
+    "limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+    "in no event shall {1-12} be liable for any claim damages or other liability whether in an action of "
+    "contract tort or otherwise arising from out of or in connection with the software or the use or "
+    "other dealings in the software"
+)
+BSD_GRANT = (
+    "redistribution and use in source and binary forms with or without modification are permitted "
+    "provided that the following conditions are met"
+)
+BSD_SOURCE = (
+    "[1] [a] redistributions of source code must retain the above copyright notice this list of "
+    "conditions and the following disclaimer"
+)
+BSD_BINARY = (
+    "[2] [b] redistributions in binary form must reproduce the above copyright notice this list of "
+    "conditions and the following disclaimer in the documentation and or other materials provided with "
+    "the distribution"
+)
+BSD_ADVERTISING = (
+    "[3] [c] all advertising materials mentioning features or use of this software must display the "
+    "following acknowledgement this product includes software developed by {1-12}"
+)
+BSD_NAMES = (
+    "[3] [c] [4] [d] neither the name of {1-12} nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission"
+)
+BSD_DISCLAIMER = (
+    "this software is provided by {1-12} as is and any express or implied warranties including but not "
+    "limited to the implied warranties of merchantability and fitness for a particular purpose are "
+    "disclaimed in no event shall {1-12} be liable for any direct indirect incidental special exemplary or "
+    "consequential damages including but not limited to procurement of substitute goods or services loss "
+    "of use data or profits or business interruption however caused and on any theory of liability "
+    "whether in contract strict liability or tort including negligence or otherwise arising in any way "
+    "out of the use of this software even if advised of the possibility of such damage"
+)
+APACHE_OPENING = (
+    "licensed under the apache license version 2 0 the license you may not use this file except in "
+    "compliance with the license"
+)
+APACHE_REST = (
+    "you may obtain a copy of the license at {1-8} unless required by applicable law or agreed to in "
+    "writing software distributed under the license is distributed on an as is basis without warranties "
+    "or conditions of any kind either express or implied see the license for the specific language "
+    "governing permissions and limitations under the license"
+)
+GPL_OPENING = (
+    "free software you can redistribute it and or modify it under the terms of the gnu general public "
+    "license as published by the free software foundation"
+)
+GPL_REST = (
+    "of the license or at your option any later version this {1-4} is distributed in the hope that it "
+    "will be useful but without any warranty without even the implied warranty of merchantability or "
+    "fitness for a particular purpose see the gnu general public license for more details"
+)
+
+#: Whole texts weigh 1, one-line notices 0.8, texts that only begin like a license 0.6.
 TEMPLATES = [
     Template("mit-notice", 0.8, "released under the mit license"),
     Template("mit-notice", 0.8, "licensed under the [terms of the] mit license"),
-    Template(
-        "mit-text",
-        1.0,
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-        "associated documentation files the software to deal in the software without restriction including "
-        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
-        "copies of the software and to permit persons to whom the software is furnished to do so subject to "
-        "the following conditions [the above copyright notice and this permission notice [including the next "
-        "paragraph] shall be included in all copies or substantial portions of {1-3}]",
-    ),
+    Template("mit-opening", 0.6, MIT_GRANT),
+    Template("mit-text", 1.0, f"{MIT_GRANT} {MIT_NOTICE} {MIT_WARRANTY}"),
     Template("apache-2.0-notice", 0.8, "licensed under the apache license version 2 0"),
-    Template(
-        "apache-2.0-text",
-        1.0,
-        "licensed under the apache license version 2 0 the license you may not use this file except in "
-        "compliance with the license [you may obtain a copy of the license at {0-8}] unless required by "
-        "applicable law or agreed to in writing software distributed under the license is distributed on an "
-        "as is basis",
-    ),
+    Template("apache-2.0-text", 1.0, f"{APACHE_OPENING} {APACHE_REST}"),
     Template("gpl-3.0-notice", 0.8, "gnu general public license [as published by {1-6}] [either] version 3"),
     Template("gpl-2.0-notice", 0.8, "gnu general public license [as published by {1-6}] [either] version 2"),
+    Template("gpl-opening", 0.6, GPL_OPENING),
+    Template("gpl-3.0-text", 1.0, f"{GPL_OPENING} either version 3 {GPL_REST}"),
+    Template("gpl-2.0-text", 1.0, f"{GPL_OPENING} either version 2 {GPL_REST}"),
     Template("lgpl-notice", 0.8, "gnu lesser general public license"),
     Template("agpl-notice", 0.8, "gnu affero general public license"),
+    Template("bsd-opening", 0.6, BSD_GRANT),
+    Template("bsd-2-clause-text", 1.0, f"{BSD_GRANT} {BSD_SOURCE} {BSD_BINARY} {BSD_DISCLAIMER}"),
+    Template("bsd-3-clause-text", 1.0, f"{BSD_GRANT} {BSD_SOURCE} {BSD_BINARY} {BSD_NAMES} {BSD_DISCLAIMER}"),
     Template(
-        "bsd-text",
+        "bsd-4-clause-text",
         1.0,
-        "redistribution and use in source and binary forms with or without modification are permitted "
-        "provided that the following conditions are met",
+        f"{BSD_GRANT} {BSD_SOURCE} {BSD_BINARY} {BSD_ADVERTISING} {BSD_NAMES} {BSD_DISCLAIMER}",
     ),
     Template("cc-notice", 0.8, "licensed under [a] [the] [creative commons] cc by [nc] [sa] [nd] [{1-1} 0]"),
     Template("cc-notice", 0.8, "creative commons attribution [noncommercial] [sharealike] [noderivatives]"),
@@ -171,7 +230,8 @@ def scan_licenses(
     """The licenses that each text of ``docs`` (doc_id, text) names.
 
     ``base`` templates are counted at all their places (``n_base``, ``first_word``,
-    ``last_word``); ``labels`` has theirs and those of ``templates``.  ``score`` is the
+    ``last_word``); ``labels`` has theirs and those of ``templates``.  A license's text is
+    accepted as a whole, up to the end of its disclaimer; what follows is another text.  ``score`` is the
     largest weight of what was accepted, 0 for none.  Nulls and empty texts have no
     words; a null ``doc_id`` stays null; repeated rows give repeated results.  One
     pass without a shuffle; a text is never cut.
