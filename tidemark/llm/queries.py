@@ -81,8 +81,8 @@ def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document without lines that stand, within one edit, in an earlier place."""
-    found = lines.dedup_lines(documents(spark, sf_dir))
+    """Each document without lines that stand in an earlier place: within two edits, short ones as they are."""
+    found = lines.dedup_lines(documents(spark, sf_dir), threshold=2, exact_chars=1)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -160,21 +160,26 @@ with d as (
 ), l as (
     select doc_id, unnest(range(len(parts))) as n, unnest(parts) as line from d
 ), f as (
-    select line, length(line) as size, min((doc_id, n)) as first from l where length(line) >= 20 group by line
-), halves as (
-    select line, size, first, left(line, size // 2) as head, right(line, size - size // 2) as tail from f
+    select line, length(line) as size, min((doc_id, n)) as first from l where line != '' group by line
+), long as (
+    select line, size from f where size >= 20
+), own as (
+    select line, size, i, substring(line, size * i // 3 + 1, size * (i + 1) // 3 - size * i // 3) as part
+    from long, (values (0), (1), (2)) as t(i)
+), probes as (
+    -- two edits leave one third of the shorter line as it is; the first such third i stands s places
+    -- further in a line that is d longer, with i edits or more ahead of it
+    select line, size - d as size, i, s
+    from long, (values (0, 0, 0), (1, 0, 0), (2, 0, 0), (0, 1, -1), (0, 1, 0), (0, 1, 1), (1, 1, 0), (1, 1, 1),
+        (2, 1, 1), (0, 2, 0), (1, 2, 1), (2, 2, 2)) as t(d, i, s)
+    where size - d >= 20
+), keys as (
+    select line, size, i, substring(line, size * i // 3 + 1 + s, size * (i + 1) // 3 - size * i // 3) as part from probes
 ), pairs as (
-    -- one edit leaves the first or the last half of the shorter line as it is
-    select a.line as a, b.line as b from halves a join f b
-        on b.size = a.size and left(b.line, b.size // 2) = a.head
-    union all select a.line, b.line from halves a join f b
-        on b.size = a.size and right(b.line, b.size - b.size // 2) = a.tail
-    union all select a.line, b.line from halves a join f b
-        on b.size - 1 = a.size and left(b.line, (b.size - 1) // 2) = a.head
-    union all select a.line, b.line from halves a join f b
-        on b.size - 1 = a.size and right(b.line, (b.size - 1) - (b.size - 1) // 2) = a.tail
+    select distinct own.line as a, keys.line as b
+    from own join keys on keys.size = own.size and keys.i = own.i and keys.part = own.part and own.line != keys.line
 ), near as (
-    select distinct a, b from pairs where a != b and levenshtein(a, b) <= 1
+    select a, b from pairs where levenshtein(a, b) <= 2
 ), around as (
     select a, b from near union select b, a from near
 ), earliest as (
