@@ -59,7 +59,7 @@ def op3_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of each text and of its edited text, and their likeness."""
+    """Fingerprints of each text and of its edited text, the tokens they stand at, and their likeness."""
     found = winnowing.fingerprint_documents(documents(spark, sf_dir))
     return found.select(
         "doc_id",
@@ -67,6 +67,8 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "edited_sha256",
         winnowing.as_text("marks").alias("fingerprint"),
         winnowing.as_text("edited_marks").alias("edited_fingerprint"),
+        winnowing.positions("marks").alias("positions"),
+        winnowing.positions("edited_marks").alias("edited_positions"),
         "near_edited",
         "near_next",
     )
