@@ -16,7 +16,7 @@ from tidemark.llm.common import partitions
 
 TOKEN = r"[^\x20\x09-\x0D]{1,12}"
 K, W = 3, 5
-POSITION_BITS = 25  # of a kept value; the 32 bits above are the hash
+POSITION_BITS = 31  # of a kept value, as many as an array's places; the 32 bits above are the hash
 _LAST = (1 << POSITION_BITS) - 1
 
 
@@ -34,7 +34,7 @@ def with_marks(df: DataFrame, text: Column, name: str, k: int = K, w: int = W) -
     def gram(x: Column, i: Column) -> Column:
         rest = [F.get(tokens, i + j) for j in range(1, k)]  # null past the end: skipped
         code = F.shiftleft(F.xxhash64(x, *rest).bitwiseAND(F.lit(0xFFFFFFFF)), POSITION_BITS)
-        return code + (F.lit(_LAST) - F.pmod(i.cast("long"), F.lit(_LAST + 1)))
+        return code + (F.lit(_LAST) - i.cast("long"))
 
     whole = F.slice(F.transform(F.col(tokens), gram), F.lit(1), F.greatest(size - (k - 1), F.least(size, F.lit(1))))
     df = df.withColumn(grams, whole)
