@@ -13,7 +13,9 @@ FAST = [
     "append_compact_twice",
     "append_expired",
     "append_replay",
+    "batchlog_compressed",
     "batchlog_range",
+    "batchlog_stream_partitions",
     "batchlog_partitions",
     "batchlog_steps",
     "batchlog_set_changes",
@@ -29,6 +31,7 @@ FAST = [
     "output_expiry",
     "partition_hook",
     "partition_local_groups",
+    "reader_acknowledged",
     "state_lifecycle_timeout",
     "state_metrics",
     "timeout_batches",

@@ -1,5 +1,8 @@
 """Readers, history, the batch read and the streaming source."""
 
+import bz2
+import gzip
+import json
 import os
 
 import pyarrow as pa
@@ -23,7 +26,7 @@ from tidemark.sources import (
     write_manifest,
 )
 from tidemark.sources.readers import lines_of_range
-from tidemark.sources.stream import find_reader
+from tidemark.sources.stream import BatchLogStream, find_reader
 from tidemark.streaming.running import into_table, run_available, run_once, run_steps
 
 MANIFEST = (
@@ -206,6 +209,120 @@ def test_own_reader(spark, folder):
     assert History(f"{folder}/history").offsets() == [1, 2, 3]
 
 
+class StumblingReader(CountingReader):
+    """Fails at its first acknowledgement of the number 2."""
+
+    short_name = "Stumbling"
+
+    def acknowledge(self, entry):
+        with open(f"{self.seen}/calls", "a") as file:
+            file.write(f"{entry.cti_ms}\n")
+        if entry.cti_ms == 2 and open(f"{self.seen}/calls").read().split().count("2") == 1:
+            raise OSError("acknowledged by half")
+
+
+def test_every_step_is_acknowledged_across_restarts(spark, folder):
+    register(spark, StumblingReader)
+
+    def run(last):
+        rows = (
+            spark.readStream.format("batchlog")
+            .options(reader="stumbling", historyPath=f"{folder}/history", last=last, seen=folder)
+            .options(stepsPerBatch=3, minLogs=1)
+            .load()
+        )
+        run_steps(into_table(rows, f"{folder}/out"), f"{folder}/checkpoint")
+
+    def calls():
+        return [int(line) for line in open(f"{folder}/calls").read().split()]
+
+    history = History(f"{folder}/history")
+    run(2)
+    assert not os.path.exists(f"{folder}/calls") and history.acknowledged() == -1
+    with pytest.raises(Exception, match="by half"):
+        run(7)
+    # The step that was cut short is still in the queue, and nothing before it.
+    assert calls() == [0, 1, 2] and history.acknowledged() == 1
+    run(7)
+    assert calls()[:4] == [0, 1, 2, 2] and sorted(set(calls())) == calls()[:3] + calls()[4:]
+    assert set(calls()) >= set(range(6)) and history.acknowledged() == max(calls())
+    got = values(spark.read.parquet(f"{folder}/out"))
+    assert got == [f"{n}-{p}" for n in range(8) for p in range(2)]
+
+
+def test_history_without_mark_waits_from_its_oldest_offset(folder):
+    history = History(f"{folder}/h")
+    assert list(history.waiting(-1)) == []
+    for offset in (4, 5, 6):
+        history.write(offset, [])
+    assert list(history.waiting(5)) == [4, 5]
+    history.acknowledge(4)
+    assert list(history.waiting(6)) == [5, 6] and history.offsets() == [4, 5, 6]
+
+
+def test_compressed_files_and_bytes_that_are_no_text(spark, folder):
+    plain = b"a\xff\xfe\n\nb\xc3\xa9\r\nlast"
+    packed = b"c\n" * 3 + b"\x80\n" + b"no end"
+    os.makedirs(f"{folder}/t/0/part=0")
+    os.makedirs(f"{folder}/t/0/part=1")
+    files = {"part=0/x.txt": plain, "part=0/empty.txt": b"", "part=1/y.gz": gzip.compress(packed) + gzip.compress(b"\nmore\n")}
+    files["z.bz2"] = bz2.compress(packed)
+    for name, data in files.items():
+        with open(f"{folder}/t/0/{name}", "wb") as file:
+            file.write(data)
+    rows = [(0, "t", 5, 2, False, True, f"{folder}/t/0")]
+    manifest = spark.createDataFrame(rows, MANIFEST.replace("cti timestamp", "cti_ms long"))
+    manifest = manifest.withColumn("cti", F.timestamp_millis("cti_ms"))
+    write_manifest(manifest, f"{folder}/manifest")
+    out = f"{folder}/out"
+    run_steps(into_table(stream(spark, folder, splitBytes="4"), out), f"{folder}/checkpoint")
+    forms = [read_batch_log(spark, manifest), spark.read.parquet(out)]
+    got = [sorted(r[0] for r in rows.select(F.hex(F.col("value").cast("binary"))).collect()) for rows in forms]
+    want = plain.split(b"\n") + (packed + b"\nmore").split(b"\n") + packed.split(b"\n")
+    assert got[0] == got[1] == sorted(line.hex().upper() for line in want)
+
+
+def test_unknown_compression_is_an_error(folder):
+    put(f"{folder}/t/x.zst", "a")
+    reader = ManifestReader()
+    reader.configure({"manifestPath": folder})
+    entry = LogEntry("t", 0, path=f"{folder}/t")
+    with pytest.raises(ValueError, match="content=entries"):
+        list(reader.read(entry, 0, reader.splits(entry, 0)[0]))
+
+
+def test_small_files_share_a_task(folder):
+    for i in range(50):
+        put(f"{folder}/t/{i}.txt", "x")
+    put(f"{folder}/t/large.txt", "y" * 1000)
+    reader = ManifestReader()
+    reader.configure({"manifestPath": folder, "splitBytes": 64 << 20})
+    history = History(f"{folder}/h")
+    history.write(0, [LogEntry("t", 0, path=f"{folder}/t")])
+    source = BatchLogStream(reader, f"{folder}/h", {"emit": "set", "content": "lines"})
+    tasks = source.partitions({"v": -1}, {"v": 0})
+    assert [len(task.pieces) for task in tasks] == [15, 15, 15, 6]
+    lines = [line for task in tasks for batch in source.read(task) for line in batch.column("value").to_pylist()]
+    assert sorted(lines) == ["x"] * 50 + ["y" * 1000]
+
+
+def test_manifest_reads_new_files_only(spark, folder, monkeypatch):
+    def write(step):
+        record = {"offset": step, "name": "t", "cti_ms": step, "path": "/x"}
+        put(f"{folder}/m/{step}.json", json.dumps(record))
+
+    write(0)
+    reader = ManifestReader()
+    reader.configure({"manifestPath": f"{folder}/m"})
+    seen = []
+    whole = ManifestReader._entries_of
+    monkeypatch.setattr(reader, "_entries_of", lambda fs, path: seen.append(os.path.basename(path)) or whole(fs, path))
+    first = reader.initial()
+    write(1)
+    assert reader.next_set(first)[0].step == 1
+    assert seen == ["0.json", "1.json"]
+
+
 def test_reader_lookup():
     class Twin(ManifestReader):
         short_name = "Manifest"

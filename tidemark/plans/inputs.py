@@ -104,6 +104,7 @@ def log_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
     ``arrivals``: one step per block of arrival, all ready;
     ``short_arrivals``: the same with blocks of three days;
     ``decades``: one step per ten days, all ready;
+    ``packed``: the same with compressed files;
     ``closing``: like ``decades``, plus a last step that is not ready.
     """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
@@ -120,6 +121,7 @@ def _write_log(spark: SparkSession, sf_dir: str, kind: str) -> str:
         "arrivals": arrival_block,
         "short_arrivals": lambda: arrival_block(3),
         "decades": first_days_of_decades,
+        "packed": first_days_of_decades,
         "closing": first_days_of_decades,
     }[kind]()
     lines = events(spark, sf_dir).select(
@@ -129,7 +131,9 @@ def _write_log(spark: SparkSession, sf_dir: str, kind: str) -> str:
     )
     # The rebalance hint splits a large step over several files and puts small
     # ones together, so neither a hot day nor a thousand tiny files results.
-    lines.hint("rebalance", "step", "part").write.partitionBy("step", "part").text(f"{root}/lines")
+    codec = "gzip" if kind == "packed" else "none"
+    dealt = lines.hint("rebalance", "step", "part").write.partitionBy("step", "part")
+    dealt.option("compression", codec).text(f"{root}/lines")
 
     # One row per step from here on.
     days = events(spark, sf_dir).select(step.alias("step")).distinct()

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_folder
-from ..sources import for_each_log_batch, history_table, only_new, read_batch_log, read_manifest, register
+from ..sources import (
+    RecordingReader,
+    acknowledged_table,
+    for_each_log_batch,
+    history_table,
+    only_new,
+    read_batch_log,
+    read_manifest,
+    register,
+)
 from ..streaming.running import into_table, run_steps
 from .inputs import DECADE_SQL, LINE_SQL, log_folder, log_stream, tables_log
 from .registry import query
@@ -99,6 +108,44 @@ def batchlog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("n"))
 
 
+@query(
+    f"""
+    select epoch_ms({DECADE_SQL}::timestamp) as cti_ms, (event_id % 3)::int as part, count(*) as n
+    from events group by all
+    """
+)
+def batchlog_stream_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per entry and entry partition through a stream of entries, counted batch by batch."""
+    out = new_folder(spark, "out")
+
+    def count(rows: DataFrame, batch_id: int) -> None:
+        counts = rows.groupBy(F.unix_millis("cti").alias("cti_ms"), F.col("partition").alias("part"))
+        counts.agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    entries = log_stream(spark, sf_dir, "decades", content="entries")
+    run_steps(for_each_log_batch(entries, count, with_partition=True), new_folder(spark, "checkpoint"))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query(
+    f"""
+    select form, epoch_ms({DECADE_SQL}::timestamp) as cti_ms, {LINE_SQL} as value
+    from events, (values ('batch'), ('stream')) forms (form)
+    """
+)
+def batchlog_compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of compressed files in both forms."""
+    out = new_folder(spark, "out")
+    run_steps(into_table(log_stream(spark, sf_dir, "packed"), out), new_folder(spark, "checkpoint"))
+    root = log_folder(spark, sf_dir, "packed")
+    forms = {
+        "batch": read_batch_log(spark, read_manifest(spark, f"{root}/manifest")),
+        "stream": spark.read.parquet(out),
+    }
+    both = [_with_ms(rows).select(F.lit(form).alias("form"), "cti_ms", "value") for form, rows in forms.items()]
+    return both[0].unionByName(both[1])
+
+
 HISTORY_SQL = f"""
     select row_number() over (order by d) - 1 as "offset", 'events' as name,
            epoch_ms(d::timestamp) as cti_ms, 3 as partitions,
@@ -225,3 +272,35 @@ def batchlog_set_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each step of the log adds to the set of the step before."""
     manifest = read_manifest(spark, f"{tables_log(spark, sf_dir)}/manifest")
     return only_new(manifest).select("offset", "name", F.unix_millis("cti").alias("cti_ms"), "is_ready")
+
+
+STEPS_PER_BATCH = 4
+
+
+@query(
+    TABLES_SQL
+    + f""",
+    numbered as (select *, dense_rank() over (order by k) - 1 as step from kept where differs)
+    select k as "offset", {TABLES_OUT}, 1::bigint as calls
+    from numbered
+    where step < (select max(step) from numbered) // {STEPS_PER_BATCH} * {STEPS_PER_BATCH}
+    """
+)
+def reader_acknowledged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which entries of which steps were acknowledged to the reader, four steps a batch.
+
+    The steps of the last batch wait: Spark reports a batch's end when it plans the next one.
+    """
+    register(spark, RecordingReader)
+    told = new_folder(spark, "acknowledged")
+    stream = (
+        spark.readStream.format("batchlog")
+        .option("reader", "recording")
+        .option("acknowledgedPath", told)
+        .option("manifestPath", f"{tables_log(spark, sf_dir)}/manifest")
+        .option("historyPath", new_folder(spark, "history"))
+        .option("stepsPerBatch", STEPS_PER_BATCH)
+        .load()
+    )
+    run_steps(into_table(stream, new_folder(spark, "out")), new_folder(spark, "checkpoint"))
+    return acknowledged_table(spark, told)

@@ -4,6 +4,7 @@ from .batch import for_each_log_batch, read_batch_log, scan_entries
 from .history import History, history_table
 from .manifest import LogEntry, only_new, read_manifest, sets_differ, stamp, write_manifest
 from .readers import LogReader, ManifestReader
+from .recording import RecordingReader, acknowledged_table
 from .stream import register
 
 __all__ = [
@@ -11,6 +12,8 @@ __all__ = [
     "LogEntry",
     "LogReader",
     "ManifestReader",
+    "RecordingReader",
+    "acknowledged_table",
     "for_each_log_batch",
     "history_table",
     "only_new",

@@ -141,7 +141,7 @@ def _entry_folder() -> Column:
 
 
 def for_each_log_batch(
-    entries: DataFrame, handle: Callable[[DataFrame, int], None]
+    entries: DataFrame, handle: Callable[[DataFrame, int], None], with_partition: bool = False
 ) -> DataStreamWriter:
     """Drive native scans from a stream of entries (``content = entries``).
 
@@ -150,7 +150,7 @@ def for_each_log_batch(
     """
 
     def scan(batch: DataFrame, batch_id: int) -> None:
-        handle(scan_entries(batch.sparkSession, batch), batch_id)
+        handle(scan_entries(batch.sparkSession, batch, with_partition), batch_id)
 
     return entries.writeStream.foreachBatch(scan)
 

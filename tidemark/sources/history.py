@@ -2,7 +2,8 @@
 
 One small file per offset: a version line, then one JSON object per entry.  The
 file is complete before the offset is given out, so a restarted stream can read
-the same range again.
+the same range again.  Steps behind the mark of the last acknowledged one are the queue
+of those that still wait.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from .readers import file_system
 
 # Fixed value: first line of every history file.
 VERSION_LINE = "v1"
+MARK = "_acknowledged"
 
 
 class History:
@@ -50,11 +52,32 @@ class History:
         if self._fs.get_file_info(self._file(offset)).type != pafs.FileType.NotFound:
             raise ValueError(f"another stream wrote offset {offset} in {self._folder}")
         self._fs.create_dir(self._folder, recursive=True)
-        partial = f"{self._folder}/.{offset}.{uuid.uuid4().hex[:8]}"
-        text = "\n".join([VERSION_LINE, *(entry.to_line() for entry in entries)])
+        self._put(str(offset), "\n".join([VERSION_LINE, *(entry.to_line() for entry in entries)]))
+
+    def _put(self, name: str, text: str) -> None:
+        """Write a small file in one step."""
+        partial = f"{self._folder}/.{name}.{uuid.uuid4().hex[:8]}"
         with self._fs.open_output_stream(partial) as stream:
             stream.write(text.encode("utf-8"))
-        self._fs.move(partial, self._file(offset))
+        self._fs.move(partial, f"{self._folder}/{name}")
+
+    def acknowledged(self) -> int:
+        """The last offset whose entries were all acknowledged.
+
+        Without a mark it is the one before the oldest offset that is kept.
+        """
+        mark = f"{self._folder}/{MARK}"
+        if self._fs.get_file_info(mark).type == pafs.FileType.NotFound:
+            return min(self.offsets(), default=0) - 1
+        with self._fs.open_input_stream(mark) as stream:
+            return int(stream.read())
+
+    def waiting(self, end: int) -> range:
+        """Offsets up to ``end`` that still wait for their acknowledgement, oldest first."""
+        return range(self.acknowledged() + 1, end + 1)
+
+    def acknowledge(self, offset: int) -> None:
+        self._put(MARK, str(offset))
 
     def drop_below(self, offset: int) -> None:
         for old in self.offsets():

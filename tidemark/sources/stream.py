@@ -4,8 +4,12 @@
     spark.readStream.format("batchlog").option("reader", "manifest")...
 
 Options: ``reader`` (name, any case), ``historyPath`` (shared folder), ``emit``
-(``set`` or ``new``), ``minLogs`` (offsets kept, 128), ``content`` (``lines`` or
-``entries``), and whatever the reader itself needs.
+(``set`` or ``new``), ``minLogs`` (offsets kept, 128), ``stepsPerBatch`` (1), ``content``
+(``lines`` or ``entries``), and whatever the reader itself needs.
+
+Every entry of every step is acknowledged at least once and in order, also where a batch
+covers several steps or the stream was restarted in between; Spark tells the source of a
+batch's end when it plans the next one, so the last batch waits until then.
 
 A stream that starts before there is any entry runs one empty batch, because
 Spark asks every source for a first offset.
@@ -32,12 +36,15 @@ from .readers import LogReader, ManifestReader
 LINES_SCHEMA = "name string not null, cti timestamp not null, value string not null"
 OFFSETS_KEPT = 128
 
+OPEN_COST = 4 << 20  # bytes that a small piece counts more, for opening its file
+
+
+Piece = tuple[LogEntry, int, Any]  # entry, its partition, a split of that
+
 
 @dataclass
 class LinesPartition(InputPartition):
-    entry: LogEntry
-    index: int
-    split: Any
+    pieces: list[Piece]
 
 
 @dataclass
@@ -65,13 +72,15 @@ class BatchLogStream(DataSourceStreamReader):
             # A new process goes on from the last offset that was written down.
             self._offset = history.newest()
             self._entries = history.read(self._offset) if self._offset >= 0 else []
-        if self._offset < 0:
-            found = self._reader.initial()
-            moved = len(found) > 0
-        else:
-            found = self._reader.next_set(self._entries)
-            moved = found != self._entries
-        if moved:
+        for _ in range(self._options["stepsPerBatch"]):
+            if self._offset < 0:
+                found = self._reader.initial()
+                moved = len(found) > 0
+            else:
+                found = self._reader.next_set(self._entries)
+                moved = found != self._entries
+            if not moved:
+                break
             history.write(self._offset + 1, found)
             self._offset += 1
             self._entries = found
@@ -83,36 +92,56 @@ class BatchLogStream(DataSourceStreamReader):
         for offset in range(start["v"] + 1, end["v"] + 1):
             entries = history.read(offset)
             if self._options["emit"] == "new" and offset > 0:
-                before = history.read(offset - 1)
+                before = set(history.read(offset - 1))
                 entries = [entry for entry in entries if entry not in before]
             chosen += [(offset, entry) for entry in entries]
         if self._options["content"] == "entries":
             return [EntriesPartition(chosen)] if chosen else []
-        return [
-            LinesPartition(entry, index, split)
+        pieces = [
+            (entry, index, split)
             for _, entry in chosen
             if entry.is_ready
             for index in range(entry.partitions)
             for split in self._reader.splits(entry, index)
         ]
+        return [LinesPartition(shared) for shared in self._shared(pieces)]
+
+    def _shared(self, pieces: list[Piece]) -> Iterator[list[Piece]]:
+        """Neighbouring small pieces share a task; what has no known size gets its own."""
+        together: list[Piece] = []
+        room = 0
+        for piece in pieces:
+            size = self._reader.size_of(piece[2])
+            cost = self._reader.task_bytes if size is None else size + OPEN_COST
+            if together and cost > room:
+                yield together
+                together = []
+            if not together:
+                room = self._reader.task_bytes
+            together.append(piece)
+            room -= cost
+        if together:
+            yield together
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         if isinstance(partition, EntriesPartition):
             yield _entries_batch(partition.entries)
             return
-        entry = partition.entry
-        moment = pa.scalar(0 if entry.is_snapshot else entry.cti_ms * 1000, pa.int64())
-        for lines in self._reader.read(entry, partition.index, partition.split):
-            size = len(lines)
-            time = pa.repeat(moment, size).cast(pa.timestamp("us", tz="UTC"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.repeat(pa.scalar(entry.name), size), time, lines], ["name", "cti", "value"]
-            )
+        for entry, index, split in partition.pieces:
+            moment = pa.scalar(0 if entry.is_snapshot else entry.cti_ms * 1000, pa.int64())
+            for lines in self._reader.read(entry, index, split):
+                size = len(lines)
+                time = pa.repeat(moment, size).cast(pa.timestamp("us", tz="UTC"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(entry.name), size), time, lines], ["name", "cti", "value"]
+                )
 
     def commit(self, end: dict) -> None:
         history = self._history()
-        for entry in history.read(end["v"]) if end["v"] >= 0 else []:
-            self._reader.acknowledge(entry)
+        for offset in history.waiting(end["v"]):
+            for entry in history.read(offset):
+                self._reader.acknowledge(entry)
+            history.acknowledge(offset)
         history.drop_below(end["v"] - self._options["minLogs"])
 
 
@@ -173,8 +202,12 @@ def register(spark: SparkSession, *readers: type[LogReader]) -> None:
             kept = int(self.options.get("minLogs", OFFSETS_KEPT))
             if kept < 1:
                 raise ValueError("minLogs must be positive")
+            steps = int(self.options.get("stepsPerBatch", 1))
+            if steps < 1:
+                raise ValueError("stepsPerBatch must be positive")
             chosen = {
                 "emit": emit,
+                "stepsPerBatch": steps,
                 "content": self.options.get("content", "lines"),
                 "minLogs": kept,
             }
