@@ -34,6 +34,8 @@ FAST = [
     "reader_acknowledged",
     "state_lifecycle_timeout",
     "state_metrics",
+    "state_timers",
+    "state_variables",
     "timeout_batches",
     "watermark_audit_daily",
     "watermark_combined",

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import flat_map_groups
+from ..operators import SINGLE_WATERMARK, flat_map_groups, pre_aggregate, time_slot, with_watermark
+from ..operators.variables import VariableCounts, process_groups
 from ..session import new_folder, settings, state_settings
 from ..streaming import checkpoints, progress
 from ..streaming.running import into_table, run_steps
@@ -125,3 +126,58 @@ def state_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("minBatchId").cast("int").alias("first_batch"),
         F.col("maxBatchId").alias("last_batch"),
     )
+
+
+SLOT_S = 3600
+GAP_MS = 400 * 86_400_000  # none ends in this table
+VARIABLES_SQL = f"""
+    with steps as (
+        select user_id, coalesce(event_type, '') as item, dense_rank() over (order by {DECADE_SQL}) - 1 as batch_id,
+               (epoch_ms(ts) // {SLOT_S * 1000} + 1) * {SLOT_S * 1000} as slot
+        from events where ts is not null),
+    early as (select * from steps where batch_id <= 1)
+"""
+
+
+def _with_variables(spark: SparkSession, sf_dir: str) -> str:
+    """Keep a total, a map of counts and a timer per user over three batches; the checkpoint."""
+    rows = parsed(log_stream(spark, sf_dir, "decades")).withColumn("slot", time_slot(F.col("ts"), SLOT_S))
+    partial = pre_aggregate(rows.where("slot is not null"), ["user_id", "event_type", "slot"], {"n": ("event_id", "count")})
+    counts = process_groups(
+        with_watermark(partial, "slot", "48 hours"),
+        ["user_id"],
+        VariableCounts("event_type", "n", "slot", GAP_MS),
+        "user_id long, n long, closed boolean",
+        time="event",
+    )
+    checkpoint = new_folder(spark, "checkpoint")
+    with settings(spark, state_settings(spark, **SINGLE_WATERMARK)):
+        run_steps(into_table(counts, new_folder(spark, "out"), "update"), checkpoint)
+    return checkpoint
+
+
+@query(
+    VARIABLES_SQL
+    + """
+    select 'total' as variable, user_id, null as item, count(*) as n from early group by all
+    union all
+    select 'kinds', user_id, item, count(*) from early group by all
+    """
+)
+def state_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two variables of one processor as they were after the second of three batches."""
+    checkpoint = _with_variables(spark, sf_dir)
+    total = checkpoints.state_table(spark, checkpoint, batch=1, variable="total")
+    kinds = checkpoints.state_table(spark, checkpoint, batch=1, variable="kinds")
+    rows = [
+        total.select(F.lit("total").alias("variable"), "key.user_id", F.lit(None).cast("string").alias("item"), "value.n"),
+        kinds.select(F.lit("kinds").alias("variable"), "key.user_id", F.col("user_map_key.kind").alias("item"), "user_map_value.n"),
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@query(VARIABLES_SQL + f"select user_id, (max(slot) + {GAP_MS})::bigint as expires_ms from early group by user_id")
+def state_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timers that were registered after the second of three batches, one per user."""
+    checkpoint = _with_variables(spark, sf_dir)
+    return checkpoints.state_timers(spark, checkpoint, batch=1).select("key.user_id", "expires_ms")

@@ -105,3 +105,15 @@ def _records(spark: SparkSession, folder: str, field: str) -> DataFrame:
         F.get_json_object("value", f"$.{field}").cast("long").alias("ms"),
     )
     return lines.filter("ms is not null")
+
+
+def state_timers(
+    spark: SparkSession, checkpoint: str, batch: int | None = None, operator: int | None = None
+) -> DataFrame:
+    """Timers that keys have registered (``key``, ``expires_ms``), now or after a batch."""
+    reader = spark.read.format("statestore").option("readRegisteredTimers", "true")
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    if operator is not None:
+        reader = reader.option("operatorId", operator)
+    return reader.load(checkpoint).withColumnRenamed("expiration_timestamp_ms", "expires_ms")
