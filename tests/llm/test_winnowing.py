@@ -5,21 +5,25 @@ import re
 import pytest
 import xxhash
 
-from tidemark.llm.winnowing import K, W, as_text, fingerprint_documents, hashes, positions
+from tidemark.llm.winnowing import BASE, K, PRIME, W, as_text, fingerprint_documents, hashes, positions
 
 
-def xx(parts):
-    code = 42
-    for p in parts:
-        code = xxhash.xxh64_intdigest(p.encode(), code)
-    return code & 0xFFFFFFFF
+def rolled(tokens):
+    """Hashes of all k-grams, each from the one before; fewer than k tokens are one gram."""
+    codes = [xxhash.xxh64_intdigest(t.encode(), 42) for t in tokens]
+    codes = [(c - (c >> 63 << 64)) % (PRIME - 1) + 1 for c in codes]
+    first = codes[:K] + [0] * (K - len(codes))
+    out = [sum(c * BASE ** (K - 1 - j) for j, c in enumerate(first)) % PRIME]
+    for gone, come in zip(codes, codes[K:]):
+        out.append(((out[-1] - gone * BASE ** (K - 1)) * BASE + come) % PRIME)
+    return out
 
 
 def brute_marks(text):
     tokens = re.findall(r"[^\x20\x09-\x0D]{1,12}", text)
     if not tokens:
         return []
-    grams = [xx(tokens[i : i + K]) for i in range(max(1, len(tokens) - K + 1))]
+    grams = rolled(tokens)
     kept = []
     for i in range(max(1, len(grams) - W + 1)):
         part = grams[i : i + W]

@@ -1,8 +1,8 @@
 """Document fingerprints by winnowing, in built-in functions only.
 
-A text's tokens are its words, long ones in pieces of twelve characters.  The k-grams
-of tokens are hashed, and of each window of w hashes the smallest is kept, the
-rightmost of equal ones, with its position.  Two texts that share w + k - 1
+A text's tokens are its words, long ones in pieces of twelve characters.  Each token is hashed
+once; the k-grams have the values of a rolling polynomial hash over those codes.  Of each
+window of w hashes the smallest is kept, the rightmost of equal ones, with its position.  Two texts that share w + k - 1
 tokens in a row therefore share a kept hash; nothing shorter than k tokens matches.
 """
 
@@ -16,8 +16,10 @@ from tidemark.llm.common import partitions
 
 TOKEN = r"[^\x20\x09-\x0D]{1,12}"
 K, W = 3, 5
-POSITION_BITS = 31  # of a kept value, as many as an array's places; the 32 bits above are the hash
+POSITION_BITS = 31  # of a kept value, as many as an array's places; the 31 bits above are the hash
 _LAST = (1 << POSITION_BITS) - 1
+PRIME = (1 << 31) - 1
+BASE = 1_000_003
 
 
 def with_marks(df: DataFrame, text: Column, name: str, k: int = K, w: int = W) -> DataFrame:
@@ -28,13 +30,17 @@ def with_marks(df: DataFrame, text: Column, name: str, k: int = K, w: int = W) -
     grams one window, no tokens an empty array.
     """
     tokens, grams = f"__tokens_{name}", f"__grams_{name}"
-    df = df.withColumn(tokens, F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)))
+    words = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    df = df.withColumn(tokens, F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(PRIME - 1)) + 1))
     size = F.size(tokens)
 
     def gram(x: Column, i: Column) -> Column:
-        rest = [F.get(tokens, i + j) for j in range(1, k)]  # null past the end: skipped
-        code = F.shiftleft(F.xxhash64(x, *rest).bitwiseAND(F.lit(0xFFFFFFFF)), POSITION_BITS)
-        return code + (F.lit(_LAST) - i.cast("long"))
+        # The rolling hash H(i + 1) = (H(i) - c(i) B^(k-1)) B + c(i + k), from the codes of each place at
+        # once: carrying H along would copy the array at every step.  Past the end a code is 0.
+        codes = [x, *(F.coalesce(F.get(tokens, i + j), F.lit(0)) for j in range(1, k))]
+        parts = [F.pmod(c * F.lit(pow(BASE, k - 1 - j, PRIME)), F.lit(PRIME)) for j, c in enumerate(codes)]
+        code = F.pmod(sum(parts[1:], parts[0]), F.lit(PRIME)).cast("long")
+        return F.shiftleft(code, POSITION_BITS) + (F.lit(_LAST) - i.cast("long"))
 
     whole = F.slice(F.transform(F.col(tokens), gram), F.lit(1), F.greatest(size - (k - 1), F.least(size, F.lit(1))))
     df = df.withColumn(grams, whole)
