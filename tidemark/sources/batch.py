@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..session import Files
-from .manifest import MANIFEST_SCHEMA, repeated_steps, seen_before, stamp
+from .manifest import MANIFEST_SCHEMA, stamp
 
 PART_OF_FILE = r"/part=([0-9]+)/[^/]+$"
 BROADCAST_BYTES = 8 << 20  # of folder names; more entries are joined by a shuffle
@@ -32,36 +34,33 @@ def read_batch_log(
     """
     if emit not in ("set", "new"):
         raise ValueError(f"emit must be 'set' or 'new', not {emit!r}")
-    # Finding repeated entries costs a shuffle of the manifest.
-    repeated = seen_before(manifest) if emit == "new" else _all_new(manifest)
-    marked = repeated.filter(F.col("offset") > start)
+    chosen = manifest.filter(F.col("offset") >= start)
     if end is not None:
-        marked = marked.filter(F.col("offset") <= end)
-    # Control data: one row per entry of the range.
-    rows = _control_rows(marked)
-    steps = {row.offset for row in rows}
-    again = {row.offset for row in repeated_steps(manifest).collect()}
-    rows = [row for row in rows if row.offset not in again]
+        chosen = chosen.filter(F.col("offset") <= end)
+    # Control data: one row per entry of the range, and of the step ahead of it.
+    steps: dict[int, list[Row]] = {}
+    for row in _control_rows(chosen):
+        steps.setdefault(row.offset, []).append(row)
     last = end if end is not None else max(steps, default=start)
-    if missing := set(range(max(start, -1) + 1, last + 1)) - steps:
+    if missing := set(range(max(start, -1) + 1, last + 1)) - set(steps):
         raise ValueError(f"the manifest lacks steps {sorted(missing)[:5]} up to {last}")
-    if emit == "new":
-        rows = [row for row in rows if not row.repeated]
+    sets = {offset: Counter(row[1:] for row in found) for offset, found in steps.items()}
+    rows = []
+    for offset in sorted(step for step in steps if step > start):
+        before = sets.get(offset - 1, Counter())
+        if sets[offset] != before:
+            rows += [row for row in steps[offset] if emit == "set" or row[1:] not in before]
     return _scan(spark, rows, with_partition)
 
 
 def scan_entries(spark: SparkSession, entries: DataFrame, with_partition: bool = False) -> DataFrame:
     """Lines of the ready entries of a manifest, whatever their steps."""
-    return _scan(spark, _control_rows(_all_new(entries)), with_partition)
-
-
-def _all_new(entries: DataFrame) -> DataFrame:
-    return entries.withColumn("repeated", F.lit(False))
+    return _scan(spark, _control_rows(entries), with_partition)
 
 
 def _control_rows(entries: DataFrame) -> list[Row]:
     micros = F.unix_micros("cti").alias("cti_us")
-    flags = ["partitions", "is_snapshot", "is_ready", "repeated"]
+    flags = ["partitions", "is_snapshot", "is_ready"]
     return entries.select("offset", "name", micros, "path", *flags).collect()
 
 
@@ -77,11 +76,20 @@ def _scan(spark: SparkSession, entries: list[Row], with_partition: bool) -> Data
         empty = "name string, cti timestamp, value string"
         return spark.createDataFrame([], empty + (", partition int" if with_partition else ""))
     folders = _folder_keys(spark, {row.path for row in rows})
+    spelt = [(key, row) for row in rows for key in folders[row.path]]
+    # An Arrow table becomes a local relation: neither a job nor a Python worker is needed for it.
     keyed = spark.createDataFrame(
-        [(key, r.name, r.cti_us, r.is_snapshot, r.partitions) for r in rows for key in folders[r.path]],
-        "folder string, name string, cti_us long, is_snapshot boolean, partitions int",
+        pa.table(
+            {
+                "folder": pa.array([key for key, _ in spelt], pa.string()),
+                "name": pa.array([row.name for _, row in spelt], pa.string()),
+                "cti_us": pa.array([row.cti_us for _, row in spelt], pa.int64()),
+                "is_snapshot": pa.array([row.is_snapshot for _, row in spelt], pa.bool_()),
+                "partitions": pa.array([row.partitions for _, row in spelt], pa.int32()),
+            }
+        )
     )
-    if sum(len(key) + 64 for r in rows for key in folders[r.path]) <= BROADCAST_BYTES:
+    if sum(len(key) + 64 for key, _ in spelt) <= BROADCAST_BYTES:
         keyed = F.broadcast(keyed)
     file = F.col("_metadata.file_path")
     part = F.regexp_extract(file, PART_OF_FILE, 1).try_cast("int")

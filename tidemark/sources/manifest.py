@@ -88,16 +88,6 @@ def seen_before(manifest: DataFrame) -> DataFrame:
     )
 
 
-def repeated_steps(manifest: DataFrame) -> DataFrame:
-    """Offsets of the steps that hold the same set of entries as the step before."""
-    sets = manifest.groupBy("offset").agg(F.sort_array(F.collect_list(F.struct(*IDENTITY))).alias("entries"))
-    codes = sets.select("offset", F.xxhash64("entries").alias("a"), F.hash("entries").alias("b"))
-    # One row per step, so a window over all of them is small.
-    before = Window.orderBy("offset")
-    same = (F.lag("a").over(before) == F.col("a")) & (F.lag("b").over(before) == F.col("b"))
-    return codes.withColumn("same", same).where("same").select("offset")
-
-
 def only_new(manifest: DataFrame) -> DataFrame:
     """Drop entries that the step before held already."""
     return seen_before(manifest).filter("not repeated").drop("repeated")
