@@ -1,9 +1,10 @@
+import gzip
 import hashlib
 import random
 
 import pytest
 
-from tidemark.llm.warc import LoserTree, capture_history, captured_at, records, url_key, write_archives
+from tidemark.llm.warc import STEP, VERSION, LoserTree, Unpacked, capture_history, captured_at, records, url_key, write_archives
 
 LONG = "<html>é" + "x" * 1200
 
@@ -55,6 +56,29 @@ def test_archives_are_valid_records(spark, folder):
     assert sorted(found) == sorted(f"p{i}".encode() for i in range(20))
 
 
+def record(payload):
+    return f"{VERSION}\r\nContent-Length: {len(payload)}\r\nX:\r\n\r\n".encode() + payload + b"\r\n\r\n"
+
+
+def test_records_are_unpacked_one_at_a_time():
+    dice = random.Random(1)
+    payloads = [b"", dice.randbytes(5 * STEP), b"\r\n\r\n" + VERSION.encode(), dice.randbytes(3 * STEP)] * 3
+    parts = [record(p) for p in payloads]
+    for packed in (gzip.compress(b"".join(parts)), b"".join(map(gzip.compress, parts))):
+        found = list(records(packed))
+        assert [payload for _, payload, _, _ in found] == payloads
+        assert [length for *_, length in found] == [len(p) for p in parts]
+        assert [offset for _, _, offset, _ in found] == [sum(map(len, parts[:i])) for i in range(len(parts))]
+        archive = Unpacked(packed)
+        assert archive.has(1) and len(archive.held) < 8 * STEP
+        for cut in (len(packed) // 2, len(packed) - 20):
+            with pytest.raises(ValueError):
+                list(records(packed[:cut]))
+    assert list(records(b"")) == [] and list(records(gzip.compress(b""))) == []
+    with pytest.raises(ValueError, match="no WARC record"):
+        list(records(gzip.compress(b"anything else")))
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 7, 8])
 def test_loser_tree_merges(k):
     dice = random.Random(k)

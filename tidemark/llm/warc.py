@@ -25,6 +25,9 @@ INDEX = (
     "offset long, length long"
 )
 
+#: Compressed bytes that are unpacked at a time: gzip can blow them up a thousandfold.
+STEP = 64 << 10
+
 
 def capture_decisions(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     """For each page: bytes, digest, and the page that it revisits, if any.
@@ -57,7 +60,8 @@ def write_archives(pages: DataFrame, path: str, file_bytes: int = 16 << 20, leas
 
     The archives are text files with CRLF, compressed with gzip as a whole, written by
     Spark's own committer, so a task that is repeated leaves no second copy.
-    ``file_bytes`` bounds the payload of a file for pages of average size.
+    ``file_bytes`` bounds the payload of a file for pages of average size; the join deals
+    pages by hash, so large ones spread over all files.
     Returns the decisions.
     """
     decisions = table(capture_decisions(pages, least_bytes), "warc-decisions")
@@ -104,22 +108,55 @@ def record_text():
     )
 
 
+class Unpacked:
+    """The bytes of a gzip archive of one or many members, unpacked as they are asked for."""
+
+    def __init__(self, content: bytes):
+        self._packed, self._at = memoryview(content), 0
+        self._gzip = zlib.decompressobj(47)
+        self.held = bytearray()  # unpacked and not yet taken
+
+    def more(self) -> bool:
+        part = self._packed[self._at : self._at + STEP]
+        self._at += len(part)
+        going_on = len(part) > 0
+        while part:
+            self.held += self._gzip.decompress(part)
+            part = b""
+            if self._gzip.eof:
+                part, self._gzip = self._gzip.unused_data, zlib.decompressobj(47)
+        return going_on
+
+    def has(self, size: int) -> bool:
+        while len(self.held) < size and self.more():
+            pass
+        return len(self.held) >= size
+
+    def find(self, mark: bytes) -> int:
+        while (place := self.held.find(mark)) < 0 and self.more():
+            pass
+        return place
+
+
 def records(content: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
-    """Headers, payload, offset and length of each record of one archive."""
-    text = zlib.decompressobj(47).decompress(content) if content else b""
-    at = 0
-    while at < len(text):
-        end = text.index(b"\r\n\r\n", at)
-        lines = text[at:end].decode().split("\r\n")
+    """Headers, payload, offset and length (both unpacked) of each record of one archive.
+
+    One record at a time is held unpacked, whatever the archive's size.
+    """
+    archive, at = Unpacked(content), 0
+    while archive.has(1):
+        end = archive.find(b"\r\n\r\n")
+        lines = bytes(archive.held[: max(end, 0)]).decode().split("\r\n")
         if lines[0] != VERSION:
             raise ValueError(f"no WARC record at {at}")
         headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
         start = end + 4
         stop = start + int(headers["Content-Length"])
-        if text[stop : stop + 4] != b"\r\n\r\n":
+        if not archive.has(stop + 4) or archive.held[stop : stop + 4] != b"\r\n\r\n":
             raise ValueError(f"record at {at} is cut off")
-        yield headers, text[start:stop], at, stop + 4 - at
-        at = stop + 4
+        yield headers, bytes(archive.held[start:stop]), at, stop + 4
+        del archive.held[: stop + 4]
+        at += stop + 4
 
 
 def url_key(url: str) -> str:
