@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import Bin, TextIds, pack_documents, patterns
+from tidemark.llm.packing import Bin, TextIds, pack, pack_documents, patterns, utilisation
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -80,6 +80,29 @@ def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
 
 
+@pytest.mark.parametrize(
+    "bin, binding",
+    [(Bin(64, 64, 64 * 64), "tokens"), (Bin(64, 2, 64 * 64), "documents"), (Bin(64, 64, 400), "attention")],
+)
+def test_each_capacity_binds_and_is_reported(spark, bin, binding):
+    dice = random.Random(7)
+    lengths = [dice.choice([4, 5, 8, 16, 20]) for _ in range(400)]
+    pieces = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "row long, piece int, length long")
+    packed = pack(pieces, bin).cache()
+    rows = packed.collect()
+    n = len({r.sequence_id for r in rows})
+    squares = defaultdict(int)
+    for r in rows:
+        squares[r.sequence_id] += r.length**2
+    assert max(squares.values()) <= bin.attention
+    (got,) = utilisation(packed, bin).collect()
+    want = (sum(lengths) / (n * bin.tokens), 400 / (n * bin.documents), sum(squares.values()) / (n * bin.attention))
+    assert got.sequences == n and (got.tokens, got.documents, got.attention) == pytest.approx(want)
+    assert max(("tokens", "documents", "attention"), key=lambda name: got[name]) == binding and got[binding] > 0.9
+    (none,) = utilisation(packed.where("false"), bin).collect()
+    assert tuple(none) == (0, None, None, None)
+
+
 @pytest.mark.parametrize("score", ["dot", "norm"])
 def test_patterns_use_every_piece_once(score):
     dice = random.Random(5)

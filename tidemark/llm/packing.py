@@ -270,3 +270,17 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, bin: Bin = Bin(), end_i
     with small_batches(docs.sparkSession):
         pieces = token_pieces(docs, tokenizer_path, bin, end_id)
         return table(pack(pieces, bin), "packed").drop("row")
+
+
+def utilisation(packed: DataFrame, bin: Bin = Bin()) -> DataFrame:
+    """One row: the number of sequences and the share of each capacity that they use, 0 to 1.
+
+    The capacity with the largest share is the one that binds.  One aggregation without a
+    distinct count: a sequence is counted by its piece at offset 0.  Shares of the empty table are null.
+    """
+    used = {"tokens": F.sum("length"), "documents": F.count("*"), "attention": F.sum(F.col("length") * F.col("length"))}
+    sums = packed.agg(F.count_if(F.col("offset") == 0).alias("sequences"), *(total.alias(name) for name, total in used.items()))
+    return sums.select(
+        "sequences",
+        *(F.try_divide(F.col(name), F.col("sequences") * F.lit(float(getattr(bin, name)))).alias(name) for name in used),
+    )
