@@ -65,3 +65,21 @@ def test_scans_read_only_what_they_need(spark):
     plan = QUERIES["partition_local_groups"](spark, DATA)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan
     assert plan.split("== Physical Plan ==")[1].count("Exchange") == 1
+
+
+def test_partition_local_groups_folds_by_columns(spark, folder):
+    """Many users interleaved in every partition, a null user: rows as the SQL, and no
+    Python call per user and chunk, so the merge of partials is Spark's own aggregate."""
+    with duckdb.connect() as database:
+        database.execute(
+            f"""copy (select i as event_id, case when i % 997 = 0 then null else i % 5000 end as user_id
+                from range(60000) t(i)) to '{folder}/events.parquet' (format parquet, row_group_size 8000)"""
+        )
+        want = database.execute(
+            f"select user_id, count(*), min(event_id), max(event_id) from '{folder}/events.parquet' group by user_id"
+        ).fetchall()
+    frame = QUERIES["partition_local_groups"](spark, folder)
+    got = [tuple(row) for row in frame.select("user_id", "n", "first_id", "last_id").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Sort" not in plan

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     flat_map_groups,
-    fold_groups,
     group_by_key,
     map_groups,
     map_partitions,
@@ -308,31 +307,23 @@ def state_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_local_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups formed where the rows already are, then merged.
 
-    Neither shuffle nor sort comes before the function; only the few rows per
+    Neither shuffle nor sort comes before the fold; only the few rows per
     partition and user are exchanged to merge users met in several partitions.
+    Each task folds its rows batch by batch, by columns, so a chunk costs the
+    same whether it holds few users or many.
     """
-
-    def update(key, rows, state):
-        ids = rows["event_id"].to_numpy()
-        n, low, high = len(ids), int(ids.min()), int(ids.max())
-        if state is None:
-            return n, low, high
-        return state[0] + n, min(state[1], low), max(state[2], high)
-
-    def finish(key, state):
-        return [(key[0], *state)]
-
-    def merge(key, a, b):
-        return a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])
-
-    return fold_groups(
-        events(spark, sf_dir).select("user_id", "event_id"),
+    rows = events(spark, sf_dir).select("user_id", "event_id").withColumn("one", F.lit(1))
+    partial = pre_aggregate(
+        rows,
         ["user_id"],
-        "n long, first_id long, last_id long",
-        update,
-        merge,
-        finish,
-        "user_id long, n long, first_id long, last_id long",
+        {
+            "n": ("one", "count"),
+            "first_id": ("event_id", "min"),
+            "last_id": ("event_id", "max"),
+        },
+    )
+    return partial.groupBy("user_id").agg(
+        F.sum("n").alias("n"), F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id")
     )
 
 
