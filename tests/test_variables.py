@@ -58,3 +58,48 @@ def test_bad_options(spark, folder):
         counts(spark, folder, mode="complete")
     with pytest.raises(ValueError, match="time"):
         counts(spark, folder, time="later")
+
+
+def test_one_state_call_a_variable_and_kind():
+    import pandas as pd
+
+    calls = []
+
+    class Held:
+        def __init__(self, name):
+            self.name, self.value, self.map = name, None, {}
+
+        def __getattr__(self, method):
+            def call(*args):
+                calls.append((self.name, method))
+                if method == "get":
+                    return self.value
+                if method == "exists":
+                    return self.value is not None
+                if method == "update":
+                    self.value = args[0]
+                if method == "getValue":
+                    return self.map.get(args[0])
+                if method == "containsKey":
+                    return args[0] in self.map
+                if method == "updateValue":
+                    self.map[args[0]] = args[1]
+
+            return call
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Held(name)
+
+        getMapState = lambda self, name, key, value: Held(name)
+        registerTimer = deleteTimer = lambda self, ms: calls.append(("timer", ms))
+
+    processor = VariableCounts("kind", "n", "time", GAP_MS)
+    processor.init(Handle())
+    chunk = pd.DataFrame({"kind": ["a", None, "a"], "n": [1, 2, 3], "time": pd.to_datetime([1000, 2000, 3000], unit="ms", utc=True)})
+    for step in range(2):
+        calls.clear()
+        (row,) = processor.handleInputRows((7,), iter([chunk]), None)
+        assert row.values.tolist() == [[7, 6 * (step + 1), False]]
+        reads = [c for c in calls if c[1] in ("get", "exists", "getValue", "containsKey")]
+        assert len(reads) == 4, reads  # total, two kinds, last

@@ -64,12 +64,15 @@ class VariableCounts(StatefulProcessor):
                 found[name] = found.get(name, 0) + int(more)
             ms = int(chunk[time].dt.tz_localize(None).astype("datetime64[ms]").astype("int64").max())
             high = ms if high is None else max(high, ms)
-        total = sum(found.values()) + (self._total.get()[0] if self._total.exists() else 0)
+        # get and getValue give None for what isn't there: one call to the state store each
+        held = self._total.get()
+        total = sum(found.values()) + (held[0] if held is not None else 0)
         self._total.update((total,))
         for name, more in found.items():
-            before = self._kinds.getValue((name,))[0] if self._kinds.containsKey((name,)) else 0
-            self._kinds.updateValue((name,), (before + more,))
-        before = self._last.get()[0] if self._last.exists() else None
+            held = self._kinds.getValue((name,))
+            self._kinds.updateValue((name,), ((held[0] if held is not None else 0) + more,))
+        held = self._last.get()
+        before = held[0] if held is not None else None
         if before is None or high > before:
             if before is not None:
                 self._handle.deleteTimer(before + self._gap_ms)
