@@ -71,6 +71,24 @@ def watermark_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_of(spark, checkpoint).select("batch_id", "watermark_ms")
 
 
+def late_rows_kept(stream: DataFrame, function) -> DataFrame:
+    """The rows of a stream that a stateful operator with event-time timeouts lets through.
+
+    The operator drops late rows one by one, whatever their key, and the function keeps no
+    state of a user; so the rows are grouped by a bucket of the user, as many buckets as
+    shuffle partitions, and a micro-batch makes that many calls at most, however many users.
+    """
+    buckets = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return flat_map_groups(
+        stream.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets))),
+        ["bucket"],
+        function,
+        "event_id long",
+        "n long",
+        timeout="event",
+    )
+
+
 @query(
     AUDIT_BLOCKS_SQL
     + """
@@ -88,14 +106,7 @@ def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = with_watermark(
         parsed(log_stream(spark, sf_dir, "arrivals")), "ts", f"{DELAY_HOURS} hours"
     )
-    kept = flat_map_groups(
-        stream.select("user_id", "event_id", "ts"),
-        ["user_id"],
-        keep,
-        "event_id long",
-        "n long",
-        timeout="event",
-    )
+    kept = late_rows_kept(stream.select("user_id", "event_id", "ts"), keep)
     out = new_folder(spark, "out")
     with settings(spark, state_settings(spark, **SINGLE_WATERMARK)):
         run_steps(into_table(kept, out), new_folder(spark, "checkpoint"))
