@@ -53,7 +53,7 @@ def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(
-    spark: SparkSession, partial: DataFrame, watch: Callable, output: str, state: str, merge: dict[str, str] | None = None
+    spark: SparkSession, partial: DataFrame, watch: Callable, output: str, state: str, merge: dict[str, str]
 ) -> DataFrame:
     # Most keys have one row or two in a batch, so a call for each would cost most of the time.
     watched = flat_map_groups(
@@ -102,22 +102,20 @@ def timeout_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     up, goes on; one that returns later starts anew.
     """
 
-    def watch(key, chunks, state):
-        user, kind = key
-        if state.hasTimedOut:
-            yield pd.DataFrame({"user_id": [user], "event_type": [kind], "n": [state.get[0]], "closed": [True]})
-            state.remove()
+    def watch(keys, rows, states):
+        if states.hasTimedOut:
+            yield keys.assign(n=states.get["n"], closed=True)
+            states.remove()
             return
-        n, last = state.get if state.exists else (0, 0)
-        for chunk in chunks:
-            n += int(chunk["n"].sum())
-            last = max(last, _slot_ms(chunk))
-        state.update((n, last))
-        state.setTimeoutTimestamp(last + GAP_MS)
-        yield pd.DataFrame({"user_id": [user], "event_type": [kind], "n": [n], "closed": [False]})
+        n = states.get["n"].fillna(0) + rows["n"]
+        last = np.maximum(states.get["last_ms"].fillna(0).astype("int64"), _slots_ms(rows["slot"]))
+        states.update({"n": n, "last_ms": last})
+        states.setTimeoutTimestamp(last + GAP_MS)
+        yield keys.assign(n=n, closed=False)
 
     output = "user_id long, event_type string, n long, closed boolean"
-    rows = _run(spark, _partials(spark, sf_dir), watch, output, "n long, last_ms long")
+    merge = {"n": "sum", "slot": "max"}
+    rows = _run(spark, _partials(spark, sf_dir), watch, output, "n long, last_ms long", merge)
     return rows.select("user_id", "event_type", "n", "closed")
 
 
