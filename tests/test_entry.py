@@ -41,3 +41,11 @@ def test_an_error_inside_an_operator_is_not_swallowed(folder):
             file.write(text)
     done = subprocess.run([sys.executable, "-c", SHOW], cwd=root, capture_output=True, text=True, timeout=120)
     assert done.returncode != 0 and "a_library_that_is_missing" in done.stderr
+
+
+def test_a_pipeline_of_another_tree_is_not_taken(folder, monkeypatch):
+    root = f"{folder}/tree"
+    shutil.copytree(ROOT, root, ignore=lambda at, found: [x for x in found if x in (".git", "tests", "corpus_pipeline.py")])
+    monkeypatch.setenv("PYTHONPATH", ROOT)
+    assert names(root)[2] == "False"
+    assert names(ROOT)[2] == "True"
